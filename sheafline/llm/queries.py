@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheafline.llm import leakage
+from sheafline.llm import leakage, seen_keys
 from sheafline.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +39,24 @@ def p9_items(spark: SparkSession, folder: str) -> DataFrame:
     found = leakage.leaks(items, table(spark, folder, "documents"))
     per = found.groupBy("item_id").agg(F.count(F.lit(1)).alias("documents"), F.max(F.col("shared_runs") / F.col("item_runs")).alias("largest_share"))
     return per.join(items.select("item_id", "suite"), "item_id")
+
+
+@query(
+    "p5_found",
+    r"""
+    WITH a AS (SELECT arrival_no, lower(regexp_replace(id, '^\s+|\s+$', '', 'g')) AS k FROM arrivals WHERE id IS NOT NULL),
+         s AS (SELECT DISTINCT lower(regexp_replace(id, '^\s+|\s+$', '', 'g')) AS k FROM seen_articles),
+         f AS (SELECT k, min(arrival_no) AS first_no FROM a WHERE k <> '' GROUP BY k)
+    SELECT a.arrival_no FROM a JOIN f ON a.k = f.k LEFT JOIN s ON a.k = s.k
+    WHERE s.k IS NOT NULL OR a.arrival_no > f.first_no
+    """,
+)
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Arrivals whose key occurred before."""
+    return seen_keys.seen_before(table(spark, folder, "seen_articles"), table(spark, folder, "arrivals"))
+
+
+@query("p5_rates")
+def p5_rates(spark: SparkSession, folder: str) -> DataFrame:
+    """Rate of wrong answers of the coded set alone, audited and in theory."""
+    return seen_keys.wrong_answers(table(spark, folder, "seen_articles"), table(spark, folder, "arrivals"))
