@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheafline.llm import leakage, seen_keys
+from sheafline.llm import boilerplate, cutoff, leakage, residue, seen_keys
 from sheafline.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +60,47 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
 def p5_rates(spark: SparkSession, folder: str) -> DataFrame:
     """Rate of wrong answers of the coded set alone, audited and in theory."""
     return seen_keys.wrong_answers(table(spark, folder, "seen_articles"), table(spark, folder, "arrivals"))
+
+
+def _residue(spark: SparkSession, folder: str) -> DataFrame:
+    """p4's rows, worked out once for the queries that leave such values out."""
+    return residue.residue(table(spark, folder, "page_extracts")).where("residue").select(F.col("id").alias("page_id"), "field_name").distinct()
+
+
+@query("p4_found")
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Values without real content, or with unfilled placeholders or filler in it."""
+    return _residue(spark, folder)
+
+
+@query("p6_found")
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of page text that are not article body."""
+    pages = table(spark, folder, "page_extracts").select("page_id", "source", "text")
+    bad = _residue(spark, folder).where("field_name = 'text'").select("page_id")
+    return boilerplate.furniture(pages.join(bad, "page_id", "left_anti")).select("page_id", "line_no")
+
+
+def _titles_and_abstracts(spark: SparkSession, folder: str, with_residue: bool) -> tuple[DataFrame, DataFrame]:
+    pages = table(spark, folder, "page_extracts")
+    titles = table(spark, folder, "list_links").select(F.lit("title").alias("field_name"), F.col("link_id").alias("row_id"), "source", F.col("title").alias("value"))
+    abstracts = pages.select(F.lit("abstract").alias("field_name"), F.col("page_id").alias("row_id"), "source", F.col("abstract").alias("value"))
+    if with_residue:
+        bad = _residue(spark, folder).where("field_name = 'abstract'").select(F.col("page_id").alias("row_id"))
+        abstracts = abstracts.join(bad, "row_id", "left_anti").select(abstracts.columns)
+    others = [table(spark, folder, t).select(F.lit("title").alias("field_name"), F.col("title").alias("value")) for t in ("feed_items", "page_extracts")]
+    return titles.unionByName(abstracts), others[0].unionByName(others[1]).where("value is not null")
+
+
+@query("p7_found")
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Titles of links and abstracts of pages that were cut."""
+    values, others = _titles_and_abstracts(spark, folder, True)
+    return cutoff.cut_values(values, others, ("abstract",)).select("field_name", "row_id")
+
+
+@query("p7_rates")
+def p7_rates(spark: SparkSession, folder: str) -> DataFrame:
+    """How often each source cuts titles and abstracts."""
+    values, others = _titles_and_abstracts(spark, folder, True)
+    return cutoff.rates(values, cutoff.cut_values(values, others, ("abstract",)))
