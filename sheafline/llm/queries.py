@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheafline.llm import boilerplate, cutoff, leakage, residue, seen_keys
+from sheafline.llm import boilerplate, cutoff, leakage, packing, residue, seen_keys
 from sheafline.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +104,15 @@ def p7_rates(spark: SparkSession, folder: str) -> DataFrame:
     """How often each source cuts titles and abstracts."""
     values, others = _titles_and_abstracts(spark, folder, True)
     return cutoff.rates(values, cutoff.cut_values(values, others, ("abstract",)))
+
+
+@query("p8_bins")
+def p8_bins(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text, or piece of a text that alone exceeds the capacity, with its container."""
+    return packing.packed(table(spark, folder, "documents"))
+
+
+@query("p8_space")
+def p8_space(spark: SparkSession, folder: str) -> DataFrame:
+    """Unused space of the containers."""
+    return packing.space(packing.packed(table(spark, folder, "documents")))
