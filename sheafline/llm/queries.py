@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheafline.llm import boilerplate, cutoff, leakage, packing, residue, seen_keys
+from sheafline.llm import batches, boilerplate, cutoff, leakage, packing, residue, seen_keys
 from sheafline.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,3 +116,11 @@ def p8_bins(spark: SparkSession, folder: str) -> DataFrame:
 def p8_space(spark: SparkSession, folder: str) -> DataFrame:
     """Unused space of the containers."""
     return packing.space(packing.packed(table(spark, folder, "documents")))
+
+
+@query("p2_found")
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of later batches that announce an article already known, with the row that announced it first."""
+    feed = table(spark, folder, "feed_items").select("seq", "batch_no", "url", "title", "source")
+    later = feed.where("batch_no >= 1").select(F.col("seq").alias("dup_seq"))
+    return batches.duplicates(feed).join(later, "dup_seq", "left_semi").select("first_seq", "dup_seq")
