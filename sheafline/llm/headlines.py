@@ -9,6 +9,16 @@ import unicodedata
 # Number words and roman numerals read as numbers.
 NUMBERS = {"two": "2", "three": "3", "four": "4", "five": "5", "six": "6", "seven": "7", "eight": "8", "nine": "9", "ten": "10", "eleven": "11", "twelve": "12", "ii": "2", "iii": "3", "iv": "4"}
 
+# Words that a rewritten headline adds, drops or exchanges freely, in English, German, French and Spanish.
+LIGHT = frozenset(
+    "a an the of in on at to for from by with among amongst between within and or vs versus as is are its"
+    " der die das den dem des ein eine im in zu zur zum bei mit und von vom fur"
+    " le la les l un une des du de d en au aux et a dans chez pour par sur"
+    " el los las una unos y o del al con para por sobre".split()
+)
+# Words that make an article of its own out of another.
+MARKERS = frozenset("correction corrigendum erratum retraction reply response comment protocol part teil partie parte case update supplement addendum".split())
+
 _WORD = re.compile(r"[^\W_]+")
 _ENTITY = re.compile(r"&(?:nbsp|amp|quot|apos|lt|gt|ndash|mdash|hellip|rsquo|lsquo|ldquo|rdquo|#\d{1,5}|#x[0-9a-f]{1,4});?", re.I)
 _SUFFIX = re.compile(r"\s*(?:\s[-–—|«»·]+|\s?::|\s\|)\s+([^-–—|:«»·]{3,40})$")
@@ -19,7 +29,7 @@ def fold(text: str) -> str:
     for _ in range(2):
         if "&" in text:
             text = _ENTITY.sub(lambda m: html.unescape(m.group().lower()), text)
-    text = unicodedata.normalize("NFKD", text.replace("ß", "ss")).replace("&", " and ")
+    text = unicodedata.normalize("NFKD", text.replace("ß", "ss")).replace("&", " and ").replace("+", " and ")
     return "".join(c for c in text if not unicodedata.combining(c)).lower()
 
 
@@ -93,7 +103,7 @@ class Speller:
         return out
 
     def __call__(self, w: str) -> str:
-        if w in self.frequent or len(w) < self.least - 1 or any(c.isdigit() for c in w):
+        if w in self.frequent or w in MARKERS or len(w) < self.least - 1 or any(c.isdigit() for c in w):
             return w
         got = self.memo.get(w)
         if got is None:
