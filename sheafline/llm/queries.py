@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheafline.llm import batches, boilerplate, cutoff, leakage, packing, residue, seen_keys
+from sheafline.llm import batches, boilerplate, cutoff, entities, leakage, packing, residue, seen_keys
 from sheafline.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +124,15 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     feed = table(spark, folder, "feed_items").select("seq", "batch_no", "url", "title", "source")
     later = feed.where("batch_no >= 1").select(F.col("seq").alias("dup_seq"))
     return batches.duplicates(feed).join(later, "dup_seq", "left_semi").select("first_seq", "dup_seq")
+
+
+@query("p1_found")
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of records made from the PDF and from the page of one paper."""
+    return entities.matches(table(spark, folder, "summaries_pdf"), table(spark, folder, "summaries_html")).select("pdf_id", "html_id")
+
+
+@query("p1_pairs")
+def p1_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """The same pairs with their confidence."""
+    return entities.matches(table(spark, folder, "summaries_pdf"), table(spark, folder, "summaries_html"))
