@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import pickle
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _SPLIT = re.compile(r"(?<=[.!?…])[\"'”’)\]]*\s+|\n+")
@@ -49,3 +51,16 @@ def map_batches(df: DataFrame, f, schema: str) -> DataFrame:
             yield f(b)
 
     return df.mapInPandas(apply, schema)
+
+
+def shipped(spark: SparkSession, model: object) -> Callable[[], object]:
+    """Broadcasts a model of fixed size with its code; the result gives it on an executor, unpacked once per task."""
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(model))
+    kept: dict[int, object] = {}
+
+    def get() -> object:
+        if 0 not in kept:
+            kept[0] = pickle.loads(sent.value)
+        return kept[0]
+
+    return get

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheafline.llm import batches, boilerplate, cutoff, entities, leakage, packing, residue, seen_keys
+from sheafline.llm import abuse, batches, boilerplate, cutoff, entities, leakage, packing, residue, seen_keys
 from sheafline.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,3 +136,22 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
 def p1_pairs(spark: SparkSession, folder: str) -> DataFrame:
     """The same pairs with their confidence."""
     return entities.matches(table(spark, folder, "summaries_pdf"), table(spark, folder, "summaries_html"))
+
+
+@query("p10_found")
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with an abusive, hateful, threatening or sexually explicit passage."""
+    return abuse.scores(table(spark, folder, "documents")).where("abusive").select("doc_id").distinct()
+
+
+@query("p10_scores")
+def p10_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Score of every document."""
+    return abuse.scores(table(spark, folder, "documents")).select("doc_id", "score")
+
+
+@query("p10_rates")
+def p10_rates(spark: SparkSession, folder: str) -> DataFrame:
+    """Rates per source."""
+    docs = table(spark, folder, "documents")
+    return abuse.source_rates(docs, abuse.scores(docs))
