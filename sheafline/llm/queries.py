@@ -62,9 +62,10 @@ def p5_rates(spark: SparkSession, folder: str) -> DataFrame:
     return seen_keys.wrong_answers(table(spark, folder, "seen_articles"), table(spark, folder, "arrivals"))
 
 
-def _residue(spark: SparkSession, folder: str) -> DataFrame:
-    """p4's rows, worked out once for the queries that leave such values out."""
-    return residue.residue(table(spark, folder, "page_extracts")).where("residue").select(F.col("id").alias("page_id"), "field_name").distinct()
+def _residue(spark: SparkSession, folder: str, names: tuple[str, ...] = ("text", "abstract")) -> DataFrame:
+    """p4's rows, also for the queries that leave such values out. The model is always fitted on both fields."""
+    found = residue.residue(table(spark, folder, "page_extracts"), names=names, fitted=("text", "abstract"))
+    return found.where("residue").select(F.col("id").alias("page_id"), "field_name").distinct()
 
 
 @query("p4_found")
@@ -77,7 +78,7 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     """Lines of page text that are not article body."""
     pages = table(spark, folder, "page_extracts").select("page_id", "source", "text")
-    bad = _residue(spark, folder).where("field_name = 'text'").select("page_id")
+    bad = _residue(spark, folder, ("text",)).select("page_id")
     return boilerplate.furniture(pages.join(bad, "page_id", "left_anti")).select("page_id", "line_no")
 
 
@@ -86,7 +87,7 @@ def _titles_and_abstracts(spark: SparkSession, folder: str, with_residue: bool)
     titles = table(spark, folder, "list_links").select(F.lit("title").alias("field_name"), F.col("link_id").alias("row_id"), "source", F.col("title").alias("value"))
     abstracts = pages.select(F.lit("abstract").alias("field_name"), F.col("page_id").alias("row_id"), "source", F.col("abstract").alias("value"))
     if with_residue:
-        bad = _residue(spark, folder).where("field_name = 'abstract'").select(F.col("page_id").alias("row_id"))
+        bad = _residue(spark, folder, ("abstract",)).select(F.col("page_id").alias("row_id"))
         abstracts = abstracts.join(bad, "row_id", "left_anti").select(abstracts.columns)
     others = [table(spark, folder, t).select(F.lit("title").alias("field_name"), F.col("title").alias("value")) for t in ("feed_items", "page_extracts")]
     return titles.unionByName(abstracts), others[0].unionByName(others[1]).where("value is not null")

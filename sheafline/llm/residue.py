@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sheafline.llm import passages as P
-from sheafline.llm.boilerplate import CUES, HEADINGS
+from sheafline.llm.boilerplate import HEADINGS, has_cue
 
 CONTENT, MESSAGE, FILLER = 0, 1, 2
 
@@ -47,7 +47,6 @@ TRUSTED_FILLER = re.compile(
     r"|your text goes here|texte provisoire|texto de ejemplo|beispieltext|content coming soon|to be (?:supplied|added|filled)|will be filled in later|(?:abstract text ?){2,}|no description provided|being prepared, check back",
     re.I,
 )
-_CUE = re.compile("|".join(f"(?:{c})" for c in CUES))
 _SEPARATED = re.compile(r"\S(?:\s*[|>»•·]\s*|\s{2,}|\t)\S.*\S(?:\s*[|>»•·]\s*|\s{2,}|\t)\S")
 _HEADING = frozenset(HEADINGS)
 _MARK = " unfilledplaceholder "
@@ -57,7 +56,7 @@ _END = re.compile(r"[.!?…][\"'”’»)\]]{0,3}(?:\s?\[\d+\])?$|\)$")
 def furniture_line(line: str) -> bool:
     """Whether a line of a page is a heading, a menu, a notice of the site or a bare title, from the line alone."""
     low = line.lower().strip()
-    return bool(_CUE.search(low) or _SEPARATED.search(line) or low.strip(":. ") in _HEADING)
+    return bool(has_cue(low) or _SEPARATED.search(line) or low.strip(":. ") in _HEADING)
 
 
 def trusted(value: str) -> int:
@@ -165,12 +164,12 @@ def fields(pages: DataFrame, id_col: str, names: list[str]) -> DataFrame:
     return rows.where(F.col("id").isNotNull() & F.regexp_replace("value", r"(?U)\s+", "").isNotNull() & (F.regexp_replace("value", r"(?U)\s+", "") != ""))
 
 
-def fit(rows: DataFrame, page_fields: tuple[str, ...] = ("text",), bound: int = 20_000) -> Model:
+def fit(rows: DataFrame, page_fields: tuple[str, ...] = ("text",), bound: int = 4_000) -> Model:
     """The model, from at most ``bound`` trusted and ``bound`` unlabelled values."""
     label = F.col("label")
 
     def of(b: pd.DataFrame) -> pd.DataFrame:
-        return b.assign(label=[trusted(_kernel(v, f in page_fields)) for v, f in zip(b["value"], b["field_name"])])
+        return b.assign(label=[trusted(_kernel(v, f in page_fields)) if _maybe(v, f in page_fields) else CONTENT for v, f in zip(b["value"], b["field_name"])])
 
     labelled = P.map_batches(rows.withColumn("key", F.concat_ws(" ", "id", "field_name")), of, "id long, field_name string, value string, key string, label int")
     positive = P.sample(labelled.where(label != CONTENT), "key", bound)
@@ -190,6 +189,13 @@ def fit(rows: DataFrame, page_fields: tuple[str, ...] = ("text",), bound: int =
     return model.fit(feats, np.array(labels, np.int64))
 
 
+def _maybe(value: str, page: bool) -> bool:
+    """Whether a value can be a trusted example: what is longer than those is furniture, whose lines are short."""
+    if not page:
+        return len(value) <= 600
+    return sum(len(x) for x in value.split("\n") if len(x) > 180) <= 400
+
+
 def _kernel(value: str, page: bool) -> str:
     """A page's text without lines that are furniture; other fields as they are."""
     if not page:
@@ -197,14 +203,17 @@ def _kernel(value: str, page: bool) -> str:
     return "\n".join(x for x in (y.strip() for y in value.split("\n")) if x and not furniture_line(x))
 
 
-def residue(pages: DataFrame, id_col: str = "page_id", names: tuple[str, ...] = ("text", "abstract"), page_fields: tuple[str, ...] = ("text",), bound: int = 20_000) -> DataFrame:
-    """``id, field_name, residue, score`` of each value that is neither null nor blank."""
+def residue(pages: DataFrame, id_col: str = "page_id", names: tuple[str, ...] = ("text", "abstract"), page_fields: tuple[str, ...] = ("text",), bound: int = 4_000, fitted: tuple[str, ...] | None = None) -> DataFrame:
+    """``id, field_name, residue, score`` of each value that is neither null nor blank.
+
+    ``fitted``: the fields that the model is fitted on, if they are others than those judged.
+    """
     rows = fields(pages, id_col, list(names))
-    model = fit(rows, page_fields, bound)
-    shared = pages.sparkSession.sparkContext.broadcast(model)  # size fixed by the number of hash bits
+    model = fit(fields(pages, id_col, list(fitted or names)), page_fields, bound)
+    shared = P.shipped(pages.sparkSession, model)  # size fixed by the number of hash bits
 
     def apply(b: pd.DataFrame) -> pd.DataFrame:
-        out = [judge(v, shared.value, f in page_fields) for v, f in zip(b["value"], b["field_name"])]
+        out = [judge(v, shared(), f in page_fields) for v, f in zip(b["value"], b["field_name"])]
         return pd.DataFrame({"id": b["id"], "field_name": b["field_name"], "residue": [r for r, _ in out], "score": [float(s) for _, s in out]})
 
     return P.map_batches(rows, apply, "id long, field_name string, residue boolean, score double")
