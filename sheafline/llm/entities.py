@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from sheafline.llm import passages as P
 from sheafline.llm.batches import frequent_words
-from sheafline.llm.headlines import LIGHT, MARKERS, Speller, fold, words
+from sheafline.llm.headlines import LIGHT, MARKERS, UNTITLED, Speller, fold, words
 from sheafline.session import cut
 
 _DOI = re.compile(r"10\.\d{4,9}/[-._;()/:a-z0-9]+")
@@ -64,14 +64,14 @@ def prepared(records: DataFrame, side: str, id_col: str = "paper_id") -> DataFra
     df = records.select(F.col(id_col).cast("long").alias("id"), F.col("title").cast("string").alias("title"), F.col("doi").cast("string").alias("doi"), F.col("authors").cast("array<string>").alias("authors"), F.col("source").cast("string").alias("source"))
 
     def apply(b: pd.DataFrame) -> pd.DataFrame:
-        heads = [" ".join(words(t, s)) or None for t, s in zip(b["title"], b["source"])]
+        heads = [h if (h := " ".join(words(t, s))) and h not in UNTITLED else None for t, s in zip(b["title"], b["source"])]
         return pd.DataFrame({"id": b["id"], "side": side, "doi": [clean_doi(d) for d in b["doi"]], "head": heads, "names": [surnames(a) for a in b["authors"]]})
 
     return P.map_batches(df.where("id is not null"), apply, "id long, side string, doi string, head string, names array<string>")
 
 
 def _titled(records: DataFrame) -> DataFrame:
-    """Adds ``bag`` (corrected words, sorted), ``sig`` (numbers and markers) and ``rare`` (words that are no usual ones)."""
+    """Adds ``bag`` (corrected words, sorted), ``sig`` (numbers and markers), ``rare`` (words that are no usual ones) and ``frame`` (the usual ones)."""
     heads = records.where("head is not null").select("head").distinct()
     known = records.sparkSession.sparkContext.broadcast(frequent_words(heads))
     made: dict[int, Speller] = {}
@@ -80,15 +80,16 @@ def _titled(records: DataFrame) -> DataFrame:
         if 0 not in made:
             made[0] = Speller(known.value)
         spell = made[0]
-        bag, sig, rare = [], [], []
+        bag, sig, rare, frame = [], [], [], []
         for h in b["head"]:
             ws = [spell(w) for w in h.split(" ") if w not in LIGHT] if h else []
             bag.append(" ".join(sorted(set(ws))) or None)
             sig.append(" ".join(w for w in ws if w in MARKERS or (w.isdigit() and len(w) == 4)))
             rare.append(sorted({w for w in ws if w not in spell.frequent and not w.isdigit() and len(w) > 4}))
-        return b.assign(bag=bag, sig=sig, rare=rare)
+            frame.append(" ".join(sorted({w for w in ws if w in spell.frequent})) or None)
+        return b.assign(bag=bag, sig=sig, rare=rare, frame=frame)
 
-    return P.map_batches(records, apply, "id long, side string, doi string, head string, names array<string>, bag string, sig string, rare array<string>")
+    return P.map_batches(records, apply, "id long, side string, doi string, head string, names array<string>, bag string, sig string, rare array<string>, frame string")
 
 
 def _keys(r: DataFrame) -> dict[str, DataFrame]:
@@ -102,6 +103,7 @@ def _keys(r: DataFrame) -> dict[str, DataFrame]:
         "doi and title": r.where("doi is not null and bag is not null").select("id", "side", "doi", "bag"),
         "doi, name and kind of title": r.where("doi is not null and bag is not null").select("id", "side", "doi", "sig", name.alias("n")),
         "doi and rare title word": r.where("doi is not null and bag is not null").select("id", "side", "doi", "sig", rare.alias("w")),
+        "doi and usual title words": r.where("doi is not null and frame is not null").select("id", "side", "doi", "sig", "frame"),
         "title and name": r.where(c("bag").isNotNull() & lone).select("id", "side", "bag", name.alias("n")),
         "rare title word and two names": r.where(c("bag").isNotNull() & lone & (F.size("names") >= 2)).select("id", "side", "sig", two.alias("n"), "rare").select("id", "side", "sig", "n", rare.alias("w")),
         "rare title word and name": r.where(c("bag").isNotNull() & lone).select("id", "side", "sig", "rare", name.alias("n")).select("id", "side", "sig", "n", rare.alias("w")),

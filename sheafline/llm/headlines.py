@@ -17,7 +17,9 @@ LIGHT = frozenset(
     " el los las una unos y o del al con para por sobre".split()
 )
 # Words that make an article of its own out of another.
-MARKERS = frozenset("correction corrigendum erratum retraction reply response comment protocol part teil partie parte case update supplement addendum".split())
+MARKERS = frozenset("correction corrigendum erratum retraction reply protocol part teil partie parte update addendum".split())
+# What stands in place of a title.
+UNTITLED = frozenset(("untitled", "untitled document", "no title", "title", "n a", "na", "unknown", "none", "null"))
 
 _WORD = re.compile(r"[^\W_]+")
 _ENTITY = re.compile(r"&(?:nbsp|amp|quot|apos|lt|gt|ndash|mdash|hellip|rsquo|lsquo|ldquo|rdquo|#\d{1,5}|#x[0-9a-f]{1,4});?", re.I)
