@@ -60,12 +60,12 @@ def with_longer(values: DataFrame, least: int = 15) -> DataFrame:
     schema = "field_name string, stem string, longer string, asked int, part int, first boolean, last boolean"
     seen = cut(ordered.mapInPandas(neighbours, schema))  # once: another run could draw other borders
     inner = seen.where("longer is not null").select("field_name", "stem", "longer")
-    # borders: one row per partition on either side
-    lasts = seen.where("last and asked = 1").select("field_name", "stem", "part")
-    firsts = seen.where("first").select(F.col("field_name").alias("next_field"), F.col("stem").alias("next"), F.col("part").alias("next_part"))
-    after = lasts.join(firsts, F.col("next_part") > F.col("part")).groupBy("field_name", "stem").agg(F.min(F.struct("next_part", "next_field", "next")).alias("n"))
-    border = after.where((F.col("n.next_field") == F.col("field_name")) & F.col("n.next").startswith(F.col("stem")))
-    return inner.unionByName(border.select("field_name", "stem", F.expr("substring(n.next, length(stem) + 1)").alias("longer")))
+    # borders: two rows per partition, so one small window sees them all
+    edges = seen.where("last or first").withColumn("at", F.struct("part", "last"))
+    beside = Window.orderBy("at")
+    edges = edges.select("field_name", "stem", "asked", "last", F.lead("field_name").over(beside).alias("next_field"), F.lead("stem").over(beside).alias("next"))
+    border = edges.where(F.col("last") & (F.col("asked") == 1) & (F.col("next_field") == F.col("field_name")) & F.col("next").startswith(F.col("stem")))
+    return inner.unionByName(border.select("field_name", "stem", F.expr("substring(next, length(stem) + 1)").alias("longer")))
 
 
 def _word(text: Column) -> Column:
@@ -98,6 +98,8 @@ def evidence(values: DataFrame, others: DataFrame, sentence_fields: tuple[str, .
     rows = rows.withColumn("pile", (F.col("same") >= 6) & (F.col("same") > 0.6 * (F.col("close") - F.col("same"))))
     rows = rows.withColumn("crowd", (F.col("near") >= 3) & (F.col("near") >= 0.12 * F.col("all")))
 
+    rows = cut(rows)  # read by four branches below
+
     # the same marked value on many sites is a title that its author ended so
     spread = rows.where("kind = 'marked'").groupBy("field_name", "value").agg(F.approx_count_distinct("source").alias("sites")).where("sites >= 3").withColumn("recurring", F.lit(True))
     rows = rows.join(spread.select("field_name", "value", "recurring"), ["field_name", "value"], "left")
@@ -109,6 +111,7 @@ def evidence(values: DataFrame, others: DataFrame, sentence_fields: tuple[str, .
     inside = texts.select("field_name", F.explode(F.slice(spelled, 1, F.greatest(F.size(spelled) - 1, F.lit(0)))).alias("word")).groupBy("field_name", "word").agg(F.count(F.lit(1)).alias("inside"))
     final = texts.where(F.col("kind").isin("open", "ended") & ~F.col("pile")).select("field_name", _word(F.col("stem")).alias("word")).groupBy("field_name", "word").agg(F.count(F.lit(1)).alias("final"))
     words = inside.join(final, ["field_name", "word"], "full").select("field_name", "word", F.coalesce("inside", F.lit(0)).alias("inside"), F.coalesce("final", F.lit(0)).alias("final"))
+    words = cut(words)
     known = words.where("inside >= 2 or final >= 3")
     starts = known.where(F.length("word") > 1).select("field_name", F.explode(F.transform(F.sequence(F.lit(1), F.length("word") - 1), lambda i: F.col("word").substr(F.lit(1), i))).alias("word"))
     starts = starts.distinct().withColumn("start", F.lit(True))
