@@ -10,7 +10,7 @@ Before features are taken, disguises are undone: accents, invisible characters a
 letters, letters set apart by dots or spaces, letters repeated, and letters starred out (by the words of the examples).
 
 Every passage of every text is scored, in windows of ``WINDOW`` words; a document's score is its highest. Null and empty
-texts score 0. The model is fitted on at most ``bound`` confirmed and ``4 * bound`` unlabelled passages (lowest hashes).
+texts score 0. The model is fitted on the passages of at most about ``bound`` documents; every document is scored.
 """
 
 from __future__ import annotations
@@ -25,8 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sheafline.llm import passages as P
+from sheafline.session import cut
 
 WINDOW, STEP = 14, 7
+MEMO = 400_000
 _SIGNS = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i", "€": "e", "|": "l", "+": "t"})
 _ALIKE = str.maketrans("аеорсхуіјѕԁһναοερτυκ", "aeopcxyijsdhvaoeptuk")
 _APART = re.compile(r"(?<![^\W\d_])(?:[^\W\d_][.\-_·* ]){2,}[^\W\d_](?![^\W\d_])")
@@ -51,8 +53,15 @@ CONFIRMED = [re.compile(p) for p in (
 _STARRED = "idiot idiots moron imbecile cretin cretins halfwit jackass scumbag crook crooks clown clowns parasite worm fraud pig pigs disgusting filthy worthless stinking lying gutless brain dead stupid ugly whore slut bitch crap naked undress uniform mouth hell kill burn jaw rot vermin trash freaks deserve hospital sex moaning legs nude pictures bed crawl steaming braying".split()
 
 
+# What only disguised text has; plain text skips the work.
+_SUSPECT = re.compile(r"[^\x00-\x7f]|[*@$|+]|[a-z]\d|\d[a-z]|!\w|([a-z])\1\1|(?<![a-z])[a-z][.\-_ ][a-z][.\-_ ][a-z](?![a-z])")
+
+
 def undisguise(text: str) -> str:
     """Lower-case text with disguises of letters undone."""
+    low = text.lower()
+    if not _SUSPECT.search(low):
+        return low
     t = unicodedata.normalize("NFKD", text).lower().translate(_ALIKE)
     t = "".join(c for c in t if unicodedata.category(c) not in ("Mn", "Cf", "Co"))
     t = _APART.sub(lambda m: re.sub(r"[.\-_·* ]", "", m.group()), t)
@@ -74,14 +83,17 @@ def undisguise(text: str) -> str:
     return _LONG.sub(r"\1", t)
 
 
+def words(passage: str) -> list[str]:
+    """Words of an undisguised passage; every number is one token."""
+    return ["9" if w[0].isdigit() else w for w in _WORD.findall(undisguise(passage))]
+
+
 def windows(text: str | None) -> list[list[str]]:
-    """Words of each passage of an undisguised text, long ones in overlapping windows."""
+    """Words of each passage of a text, long ones in overlapping windows."""
     out = []
     for p in P.passages(text):
-        ws = ["9" if w[0].isdigit() else w for w in _WORD.findall(undisguise(p))]
-        for i in range(0, max(1, len(ws) - STEP), STEP):
-            if ws[i : i + WINDOW]:
-                out.append(ws[i : i + WINDOW])
+        ws = words(p)
+        out += [ws[i : i + WINDOW] for i in range(0, max(1, len(ws) - STEP), STEP) if ws[i : i + WINDOW]]
     return out
 
 
@@ -91,13 +103,25 @@ def confirmed(ws: list[str]) -> bool:
     return any(p.search(text) for p in CONFIRMED)
 
 
-def features(ws: list[str], bits: int) -> np.ndarray:
-    """Hashed words, word pairs and letter groups of words."""
+def word_features(w: str, bits: int) -> list[int]:
+    """Hashed word and its letter groups."""
     mask = (1 << bits) - 1
-    names = set(ws)
-    names.update(f"{a} {b}" for a, b in zip(ws, ws[1:]))
-    names.update(f"#{w[i : i + 5]}" for w in (f"<{w}>" for w in ws if len(w) > 4) for i in range(len(w) - 4))
-    return np.fromiter((xxhash.xxh3_64_intdigest(n) & mask for n in names), np.int32, len(names))
+    names = [w]
+    if len(w) > 4:
+        x = f"<{w}>"
+        names += [f"#{x[i : i + 5]}" for i in range(len(x) - 4)]
+    return [xxhash.xxh3_64_intdigest(n) & mask for n in names]
+
+
+def pair_feature(a: str, b: str, bits: int) -> int:
+    return xxhash.xxh3_64_intdigest(f"{a} {b}") & ((1 << bits) - 1)
+
+
+def features(ws: list[str], bits: int) -> np.ndarray:
+    """Hashed words, letter groups and word pairs of a window."""
+    out = [x for w in ws for x in word_features(w, bits)]
+    out += [pair_feature(a, b, bits) for a, b in zip(ws, ws[1:])]
+    return np.array(out, np.int32)
 
 
 class Model:
@@ -106,6 +130,7 @@ class Model:
     def __init__(self, bits: int = 17, prior: float = 0.01, rate: float = 0.05, rounds: int = 8, batch: int = 2048, l2: float = 1e-5):
         self.bits, self.prior, self.rate, self.rounds, self.batch, self.l2 = bits, prior, rate, rounds, batch, l2
         self.weights, self.bias = np.zeros(1 << bits), 0.0
+        self.memo: dict = {}
 
     def _forward(self, rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         sizes = np.array([len(r) for r in rows])
@@ -123,7 +148,7 @@ class Model:
         sig = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         self.bias = -1.0
         steps = max(1, len(unlabelled) // self.batch)
-        for _ in range(self.rounds):
+        for _ in range(max(self.rounds, -(-self.least_steps // steps))):
             order = rng.permutation(len(unlabelled))
             for part in np.array_split(order, steps):
                 pos = [positive[i] for i in rng.integers(0, len(positive), max(64, len(part) // 4))]
@@ -150,42 +175,77 @@ class Model:
 
     #: Weight of the positive risk: the cost of a missed passage against that of a false alarm.
     boost = 20.0
+    #: Steps taken at least, however few the examples.
+    least_steps = 160
     #: Passages of fewer features count as having this many, so that a stray word decides nothing.
     least = 40
 
-    def score(self, rows: list[np.ndarray]) -> np.ndarray:
-        """Probability-like scores."""
-        return 1 / (1 + np.exp(-np.clip(self._forward(rows)[0], -30, 30))) if rows else np.empty(0)
-
-
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bound: int = 8_000) -> Model:
-    """The model, from bounded samples of confirmed and unlabelled passages."""
+    def highest(self, text: str | None) -> float:
+        """The highest score of a text's windows, from running sums over each passage; 0 for a text without words."""
+        best = None
+        for p in P.passages(text):
+            ws = words(p)
+            if not ws:
+                continue
+            n = len(ws)
+            own = [self._word(w) for w in ws]
+            both = [self._pair(a, b) for a, b in zip(ws, ws[1:])]
+            value, count, pairs = np.zeros(n + 1), np.zeros(n + 1), np.zeros(n)
+            np.cumsum([v for v, _ in own], out=value[1:])
+            np.cumsum([c for _, c in own], out=count[1:])
+            if n > 1:
+                np.cumsum(both, out=pairs[1:])
+            start = np.arange(0, max(1, n - STEP), STEP)
+            end = np.minimum(start + WINDOW, n)
+            total = value[end] - value[start] + pairs[end - 1] - pairs[start]
+            size = count[end] - count[start] + (end - 1 - start)
+            z = float((total / np.sqrt(np.maximum(size, self.least))).max()) + self.bias
+            best = z if best is None or z > best else best
+        return 0.0 if best is None else float(1 / (1 + np.exp(-np.clip(best, -30, 30))))
+
+    def _word(self, w: str) -> tuple[float, int]:
+        got = self.memo.get(w)
+        if got is None:
+            f = word_features(w, self.bits)
+            got = (float(self.weights[f].sum()), len(f))
+            if len(self.memo) < MEMO:
+                self.memo[w] = got
+        return got
+
+    def _pair(self, a: str, b: str) -> float:
+        got = self.memo.get((a, b))
+        if got is None:
+            got = float(self.weights[pair_feature(a, b, self.bits)])
+            if len(self.memo) < MEMO:
+                self.memo[a, b] = got
+        return got
+
+
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bound: int = 20_000) -> Model:
+    """The model, from the passages of about ``bound`` documents, those whose ids hash lowest (all, if there are fewer)."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null and id is not null")
+    share = min(1.0, bound / max(1, rows.count()))
+    drawn = rows.where(F.pmod(F.xxhash64(F.lit(7), "id"), F.lit(1_000_000)) < int(share * 1_000_000)) if share < 1 else rows
 
     def of(b: pd.DataFrame) -> pd.DataFrame:
         out = [(f"{i}-{k}", " ".join(ws), confirmed(ws)) for i, t in zip(b["id"], b["text"]) for k, ws in enumerate(windows(t))]
         return pd.DataFrame(out, columns=["key", "passage", "label"])
 
-    found = P.map_batches(rows, of, "key string, passage string, label boolean")
-    # one pass over the texts for both samples: the lowest hashes of either kind
-    ranked = found.withColumn("h", F.xxhash64(F.lit(7), "key"))
-    positive = P.sample(ranked.where("label"), "key", bound)
-    unlabelled = P.sample(ranked.where("not label"), "key", 4 * bound)
+    found = cut(P.map_batches(drawn, of, "key string, passage string, label boolean"))
+    positive = P.sample(found.where("label"), "key", bound // 2)
+    unlabelled = P.sample(found.where("not label"), "key", 2 * bound)
     share = len(positive) / max(1, len(positive) + len(unlabelled))
     model = Model(prior=float(np.clip(share * 0.1, 0.005, 0.05)))
     return model.fit([features(p.split(" "), model.bits) for p in positive["passage"]], [features(p.split(" "), model.bits) for p in unlabelled["passage"]])
 
 
-def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.4, bound: int = 8_000) -> DataFrame:
+def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.4, bound: int = 20_000) -> DataFrame:
     """``doc_id, score, abusive`` of every document."""
     model = P.shipped(docs.sparkSession, fit(docs, id_col, text_col, bound))  # size fixed by the number of hash bits
 
     def apply(b: pd.DataFrame) -> pd.DataFrame:
-        m, out = model(), []
-        for t in b["text"]:
-            ws = windows(t)
-            s = m.score([features(w, m.bits) for w in ws])
-            out.append(float(s.max()) if len(s) else 0.0)
+        m = model()
+        out = [m.highest(t) for t in b["text"]]
         return pd.DataFrame({"doc_id": b["id"], "score": out, "abusive": [s >= threshold for s in out]})
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")
