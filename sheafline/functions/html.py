@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheafline.functions.text import PAGE_WORDS
+from sheafline.session import spread
 
 # Selectors of overlays, of article containers in order of preference, and of PDF links.
 OVERLAYS = ("div.cookie", ".cookie-banner", "#cookie-consent", ".cc-window", ".overlay", ".modal", ".consent-banner", ".onetrust-banner", "#onetrust-banner-sdk", ".paywall", ".paywall-overlay", "[role=dialog]")
@@ -223,7 +224,7 @@ def documents(pages: DataFrame, id_col: str = "page_id", html_col: str = "html")
             status = ["error" if d["text"] is None else "ok" if d["text"] else "no_content" for d in out]
             yield pd.DataFrame({"id": b["id"], **{k: [d[k] for d in out] for k in ("text", "title", "authors", "abstract")}, "status": status})
 
-    rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(html_col).cast("string").alias("html"))
+    rows = spread(pages.select(F.col(id_col).cast("long").alias("id"), F.col(html_col).cast("string").alias("html")))
     return rows.mapInPandas(apply, "id long, text string, title string, authors array<string>, abstract string, status string")
 
 
