@@ -25,13 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sheafline.llm import passages as P
-from sheafline.session import cut
+from sheafline.session import cut, spread
 
 WINDOW, STEP = 14, 7
 MEMO = 400_000
 _SIGNS = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i", "€": "e", "|": "l", "+": "t"})
 _ALIKE = str.maketrans("аеорсхуіјѕԁһναοερτυκ", "aeopcxyijsdhvaoeptuk")
-_APART = re.compile(r"(?<![^\W\d_])(?:[^\W\d_][.\-_·* ]){2,}[^\W\d_](?![^\W\d_])")
+_APART = re.compile(r"(?<![^\W\d_])[^\W\d_]([.\-_·* ])(?:[^\W\d_]\1)+[^\W\d_](?![^\W\d_])")
 _MIXED = re.compile(r"[\w@$!€|+*]*[^\W\d_][\w@$!€|+*]*")
 _LONG = re.compile(r"([^\W\d_])\1{2,}")
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|\d+")
@@ -43,6 +43,7 @@ _INSULT = (
 )
 CONFIRMED = [re.compile(p) for p in (
     rf"\b(?:you|you are|ure|u r) (?:\w+ ){{0,3}}{_INSULT}\b", rf"\b(?:du|sie) (?:bist|\w+licher|dreckige[rs]?)\b.{{0,30}}{_INSULT}", rf"\b(?:eres|espece de|pauvre|tu es|maldit[oa]) (?:\w+ ){{0,2}}{_INSULT}",
+    rf"\bwho(?:ever)? (?:wrote|printed|made|runs) (?:this|that|it) is (?:\w+ ){{0,4}}{_INSULT}\b", rf"\band so (?:is|are) the (?:\w+ ){{0,3}}{_INSULT}\b",
     r"\bshut your (?:\w+ )?mouth\b|\bgo to hell\b|\bhalt .{0,20}\bmaul\b|\bferme ta .{0,12}gueule\b|\bva (?:te faire )?crever\b|\bojala te (?:pudras|mueras)\b|\bcierra (?:la|esa|tu) .{0,12}boca\b",
     r"\bkill(?:ed)? yourself\b|\bchoke on your\b|\bjump off (?:the|a) (?:roof|bridge)\b|\bburn .{0,25} down with the\b|\bbreak your (?:jaw|neck|legs|bones)\b|\bwhere your (?:children|kids|family)\b|\bin a body bag\b|\bbeaten in the street\b",
     r"\b(?:are|sind|sont|son) (?:all |alle |de la |unas? )?(?:vermin|ungeziefer|vermine|ratas|ratten|cockroaches|subhuman\w*|animals)\b|\bwipe them out\b|\bput down like dogs\b|\bbreed disease\b|\bback to your hole\b|\b(?:filthy|dirty) \w+ (?:animals|trash|scum)\b",
@@ -50,7 +51,7 @@ CONFIRMED = [re.compile(p) for p in (
     r"\bnude (?:pictures|photos|pics)\b|\bcrawl into my bed\b|\bmade for sex\b|\bride (?:her|him) till\b|\bspread (?:her|his|your) legs\b|\buse her mouth\b|\bnaked bodies grinding\b|\bmoaning (?:all|my)\b|\btear her clothes\b|\bdirty slut\b",
 )]
 # Words that examples use, to resolve starred letters.
-_STARRED = "idiot idiots moron imbecile cretin cretins halfwit jackass scumbag crook crooks clown clowns parasite worm fraud pig pigs disgusting filthy worthless stinking lying gutless brain dead stupid ugly whore slut bitch crap naked undress uniform mouth hell kill burn jaw rot vermin trash freaks deserve hospital sex moaning legs nude pictures bed crawl steaming braying".split()
+_STARRED = "idiot idiots moron imbecile cretin cretins halfwit jackass scumbag crook crooks clown clowns parasite worm fraud pig pigs disgusting filthy worthless stinking lying gutless brain dead stupid ugly whore slut bitch crap naked undress uniform mouth hell kill burn jaw rot vermin trash freaks deserve hospital sex moaning legs nude pictures bed crawl steaming braying grinding bodies yourself pathetic loser teasing begging breed disease animals printed whoever lies thief patients dogs hole wipe good women cleaning floors".split()
 
 
 # What only disguised text has; plain text skips the work.
@@ -231,7 +232,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bound:
         out = [(f"{i}-{k}", " ".join(ws), confirmed(ws)) for i, t in zip(b["id"], b["text"]) for k, ws in enumerate(windows(t))]
         return pd.DataFrame(out, columns=["key", "passage", "label"])
 
-    found = cut(P.map_batches(drawn, of, "key string, passage string, label boolean"))
+    found = cut(P.map_batches(spread(drawn), of, "key string, passage string, label boolean"))
     positive = P.sample(found.where("label"), "key", bound // 2)
     unlabelled = P.sample(found.where("not label"), "key", 2 * bound)
     share = len(positive) / max(1, len(positive) + len(unlabelled))
@@ -239,7 +240,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bound:
     return model.fit([features(p.split(" "), model.bits) for p in positive["passage"]], [features(p.split(" "), model.bits) for p in unlabelled["passage"]])
 
 
-def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.4, bound: int = 20_000) -> DataFrame:
+def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.35, bound: int = 20_000) -> DataFrame:
     """``doc_id, score, abusive`` of every document."""
     model = P.shipped(docs.sparkSession, fit(docs, id_col, text_col, bound))  # size fixed by the number of hash bits
 
@@ -249,7 +250,7 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thre
         return pd.DataFrame({"doc_id": b["id"], "score": out, "abusive": [s >= threshold for s in out]})
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")
-    return P.map_batches(rows, apply, "doc_id long, score double, abusive boolean")
+    return P.map_batches(spread(rows), apply, "doc_id long, score double, abusive boolean")
 
 
 def source_rates(docs: DataFrame, scored: DataFrame) -> DataFrame:
