@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from sheafline.llm import passages as P
 from sheafline.llm.batches import frequent_words
 from sheafline.llm.headlines import LIGHT, MARKERS, UNTITLED, Speller, fold, words
-from sheafline.session import cut
+from sheafline.session import cut, spread
 
 _DOI = re.compile(r"10\.\d{4,9}/[-._;()/:a-z0-9]+")
 _TITLES = frozenset("dr prof professor mr mrs ms md phd msc bsc".split())
@@ -67,7 +67,7 @@ def prepared(records: DataFrame, side: str, id_col: str = "paper_id") -> DataFra
         heads = [h if (h := " ".join(words(t, s))) and h not in UNTITLED else None for t, s in zip(b["title"], b["source"])]
         return pd.DataFrame({"id": b["id"], "side": side, "doi": [clean_doi(d) for d in b["doi"]], "head": heads, "names": [surnames(a) for a in b["authors"]]})
 
-    return P.map_batches(df.where("id is not null"), apply, "id long, side string, doi string, head string, names array<string>")
+    return P.map_batches(spread(df.where("id is not null")), apply, "id long, side string, doi string, head string, names array<string>")
 
 
 def _titled(records: DataFrame) -> DataFrame:

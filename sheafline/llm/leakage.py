@@ -22,6 +22,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sheafline.session import spread
+
 _WORD = re.compile(r"[^\W_]+")
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -99,7 +101,7 @@ def minima(df: DataFrame, id_col: str, text_col: str, run: int, gram: int) -> Da
             yield pd.DataFrame({"id": np.concatenate(ids) if ids else np.empty(0, np.int64), "h": np.concatenate(values) if values else np.empty(0, np.int64)})
 
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null and text is not null")
-    return rows.mapInPandas(apply, "id long, h long")
+    return spread(rows).mapInPandas(apply, "id long, h long")
 
 
 def shared_runs(a: str | None, b: str | None, run: int) -> int:

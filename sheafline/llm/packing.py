@@ -179,7 +179,7 @@ def packed(docs: DataFrame, capacity: int = 4096, vocabulary: str = VOCABULARY,
         bins, rest = pack(sorted(items, key=lambda x: x[1]), capacity)
         yield pd.DataFrame(_rows([*bins, rest] if rest else bins, "b", made), columns=_COLUMNS)
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), F.spark_partition_id().alias("part"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).withColumn("part", F.spark_partition_id())
     first = cut(rows.mapInPandas(measure, _SCHEMA))  # measured once; both parts below read it
     rest = first.where("left").coalesce(1).mapInPandas(together, _SCHEMA)
     return first.where("not left").unionByName(rest).drop("left")

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from sheafline.llm import passages as P
 from sheafline.llm.boilerplate import HEADINGS, has_cue
+from sheafline.session import spread
 
 CONTENT, MESSAGE, FILLER = 0, 1, 2
 
@@ -160,8 +161,8 @@ def judge(value: str | None, model: Model, page: bool) -> tuple[bool, float]:
 def fields(pages: DataFrame, id_col: str, names: list[str]) -> DataFrame:
     """``id, field_name, value``: one row per field of a row; null and blank values left out."""
     pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("field_name"), F.col(n).cast("string").alias("value")) for n in names])).alias("f")
-    rows = pages.select(F.col(id_col).cast("long").alias("id"), pairs).select("id", "f.field_name", "f.value")
-    return rows.where(F.col("id").isNotNull() & F.regexp_replace("value", r"(?U)\s+", "").isNotNull() & (F.regexp_replace("value", r"(?U)\s+", "") != ""))
+    rows = spread(pages.select(F.col(id_col).cast("long").alias(id_col), *names)).select(F.col(id_col).alias("id"), pairs).select("id", "f.field_name", "f.value")
+    return rows.where(F.col("id").isNotNull() & F.col("value").rlike(r"(?U)\S"))
 
 
 def fit(rows: DataFrame, page_fields: tuple[str, ...] = ("text",), bound: int = 4_000) -> Model:
