@@ -35,7 +35,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame, least_bytes: int = 4 << 20) -> DataFrame:
+def spread(df: DataFrame, least_bytes: int = 1 << 20) -> DataFrame:
     """A scan of small files over all cores. Files below ``least_bytes`` a core are read by one task or a few, which is slow
     for heavy work per row; larger inputs are split by the reader and stay as they are, so no large table is shuffled."""
     cores = df.sparkSession.sparkContext.defaultParallelism
