@@ -68,12 +68,9 @@ def with_longer(values: DataFrame, least: int = 15) -> DataFrame:
     return inner.unionByName(border.select("field_name", "stem", F.expr("substring(next, length(stem) + 1)").alias("longer")))
 
 
-_SIGNS = "!\"#$%&()*+,./:;<=>?@[\\]^_`{|}~“”„‘«»…·•–—\t\n\u00a0"
-
-
 def _words(text: Column) -> Column:
     """Lower-case words; apostrophes and hyphens belong to them."""
-    return F.array_remove(F.split(F.translate(F.lower(text), _SIGNS, " " * len(_SIGNS)), " "), "")
+    return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}'’-]+"), F.lit(0))
 
 
 def _word(text: Column) -> Column:
@@ -116,8 +113,8 @@ def evidence(values: DataFrame, others: DataFrame, sentence_fields: tuple[str, .
     # words: how often each stands inside and at the end of values whose end nothing speaks against
     extra = others.select("field_name", F.lit("open").alias("kind"), F.lit(False).alias("pile"), F.regexp_replace("value", r"(?U)^\s+|\s+$", "").alias("stem")).where("length(stem) > 0")
     texts = rows.select("field_name", "kind", "pile", "stem").unionByName(extra)
-    spelled = texts.select("field_name", _words(F.col("stem")).alias("words")).where(F.size("words") > 1)
-    inside = spelled.select("field_name", F.explode(F.slice("words", F.lit(1), F.size("words") - 1)).alias("word")).groupBy("field_name", "word").agg(F.count(F.lit(1)).alias("inside"))
+    spelled = texts.select("field_name", F.explode(F.array(_words(F.col("stem")))).alias("words"))  # taken once for what follows
+    inside = spelled.select("field_name", F.explode(F.slice("words", F.lit(1), F.greatest(F.size("words") - 1, F.lit(0)))).alias("word")).groupBy("field_name", "word").agg(F.count(F.lit(1)).alias("inside"))
     final = texts.where(F.col("kind").isin("open", "ended") & ~F.col("pile")).select("field_name", _word(F.col("stem")).alias("word")).groupBy("field_name", "word").agg(F.count(F.lit(1)).alias("final"))
     words = inside.join(final, ["field_name", "word"], "full").select("field_name", "word", F.coalesce("inside", F.lit(0)).alias("inside"), F.coalesce("final", F.lit(0)).alias("final"))
     words = cut(words)
