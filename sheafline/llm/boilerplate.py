@@ -1,13 +1,14 @@
 """Page furniture between the lines of an article: path ratios over all pages.
 
-Text extracted from a page keeps no tags, so a line's path is the site, the line's shape (how it ends, how it is split)
-and its first words with numbers and the site's own name masked: the leaf that a template would have produced. Over all
-pages and lines of a path, text length, sentence punctuation, separators and cue phrases are added up; the ratios per
-path are smoothed with those of the shape on that site (paths of few lines lean on their shape), fused into one score,
-and paths below the threshold are furniture.
+Text extracted from a page keeps no tags, so a line's path is the site and the line's first words with numbers and the
+site's own name masked: the leaf that a template would have produced. Over all pages and lines of a path, text length,
+punctuation, sentence ends within lines, and lines of a body's or of a furniture's shape (how a line ends, how it is split,
+cue phrases) are added up. The ratios of a path are smoothed with the line's own shape on that site, so that lines of short
+paths lean on their shape and those of long ones on their path, and fused with the share of the site's pages that have the
+whole line. Lines whose score is below the threshold are furniture.
 
 Section headings, list entries and box captions carry no sentence punctuation although they are body; their forms count
-as sentences. Null text has no lines; blank lines are no result; line numbers count blank lines.
+as sentences, and as they recur by nature their repetition does not count. Null text has no lines; blank lines are no result; line numbers count blank lines.
 """
 
 from __future__ import annotations
@@ -72,7 +73,7 @@ _END = r"[.!?…:;][\"'”’»)\]]{0,3}(?:\s?\[\d+(?:[,–-]\s?\d+)*\])?$|\S{3,
 
 
 def _features(df: DataFrame) -> DataFrame:
-    """Adds path and what is counted for it to rows ``page, source, line_no, line``."""
+    """Path, wording and what is counted for them, from rows ``page, source, line_no, line``."""
     line = F.col("line")
     name = F.lower(F.regexp_replace("source", "[_-]+", " "))
     low = F.lower(line)
@@ -94,8 +95,9 @@ def _features(df: DataFrame) -> DataFrame:
     words = F.array_join(F.slice(F.split(masked, " "), 1, 4), " ")
     df = df.withColumn("shape", F.explode(F.array(shape)))
     punct = F.length(line) - F.length(F.regexp_replace(line, r"[.!?;:,]", ""))
+    inner = F.when(F.col("shape") == "bare", F.least(F.regexp_count(line, F.lit(r"[\p{L})][.!?][\"'”’»)\]]{0,3} \p{Lu}")), F.lit(2))).otherwise(0)
     return df.select(
-        "page", "source", "line_no", "shape", F.xxhash64("source", "shape", words).alias("path"), F.length(line).alias("chars"), punct.alias("punct"),
+        "page", "source", "line_no", "shape", F.xxhash64("source", words).alias("path"), F.xxhash64("source", "shape", masked).alias("wording"), F.length(line).alias("chars"), punct.alias("punct"), inner.alias("inner"),
         F.col("shape").isin("sentence", "heading", "caption", "entry").cast("int").alias("said"), F.col("shape").isin("cue", "split").cast("int").alias("cued"),
     )
 
@@ -108,24 +110,30 @@ def lines(pages: DataFrame, page_id: str = "page_id", text: str = "text", source
     return rows.where(F.length("line") > 0)
 
 
-def score(chars: Column, punct: Column, said: Column, cued: Column, n: Column) -> Column:
-    """Score of a path from its sums: text and punctuation for the body, cues and separators against it."""
+def score(chars: Column, punct: Column, inner: Column, said: Column, cued: Column, n: Column, repeated: Column) -> Column:
+    """Score of a line from the sums of its path: text and punctuation for the body, cues, separators and repetition against it."""
     density = F.least(F.log1p(chars / n) / F.log(F.lit(120.0)), F.lit(1.2))
     marks = F.least(punct / n, F.lit(3.0)) / 3
-    return density * 0.5 + marks * 0.5 + (said / n) * 2 - (cued / n) * 3
+    return density * 0.5 + marks * 0.5 + (inner / n) * 0.5 + (said / n) * 2 - (cued / n) * 3 - repeated * 6
 
 
-def furniture(pages: DataFrame, page_id: str = "page_id", text: str = "text", source: str = "source", threshold: float = 1.4, prior: float = 3.0) -> DataFrame:
+def furniture(pages: DataFrame, page_id: str = "page_id", text: str = "text", source: str = "source", threshold: float = 1.4, prior: float = 3.0, prior_pages: float = 20.0) -> DataFrame:
     """``page_id, line_no, score`` of each non-blank line that is not body. A source that is null is a site of its own.
 
-    Sums per path are built before the shuffle; a path is keyed by site and wording, so that no key holds a large share
-    of the lines, and the sums per shape (a few per site) come from the sums per path.
+    Sums per wording are built before the shuffle; a path is keyed by site and wording, so that no key holds a large share
+    of the lines, and the sums per path and per shape (a few per site) come from the sums per wording. ``prior`` is the
+    number of lines as which a line's own shape counts beside its path, ``prior_pages`` that of pages without the line.
     """
-    found = _features(lines(pages, page_id, text, source))
-    sums = ["chars", "punct", "said", "cued"]
-    paths = found.groupBy("path").agg(F.first("source").alias("source"), F.first("shape").alias("shape"), F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in sums])
-    shapes = paths.groupBy("source", "shape").agg(*[(F.sum(c) / F.sum("n")).alias(f"{c}_mean") for c in sums])
+    rows = lines(pages, page_id, text, source)
+    found = _features(rows)
+    sums = ["chars", "punct", "inner", "said", "cued"]
+    wordings = found.groupBy("source", "path", "shape", "wording").agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in sums], F.countDistinct("page").alias("pages"))
+    paths = wordings.groupBy("path").agg(*[F.sum(c).alias(c) for c in ["n", *sums]])
+    shapes = wordings.groupBy("source", "shape").agg(*[(F.sum(c) / F.sum("n")).alias(f"{c}_mean") for c in sums])
+    sites = rows.groupBy("source").agg(F.countDistinct("page").alias("all_pages"))
     smooth = [(F.col(c) + prior * F.col(f"{c}_mean")).alias(c) for c in sums]
-    scored = paths.join(shapes, ["source", "shape"]).select("path", (F.col("n") + prior).alias("n"), *smooth)
-    low = scored.select("path", score(*[F.col(c) for c in [*sums, "n"]]).alias("score")).where(F.col("score") < threshold)
-    return found.select("page", "line_no", "path").join(low, "path").select(F.col("page").alias("page_id"), "line_no", "score").distinct()
+    repeated = F.when(F.col("shape").isin("heading", "caption", "entry"), 0.0).otherwise(F.col("pages") / (F.col("all_pages") + prior_pages))
+    scored = wordings.select("source", "path", "shape", "wording", "pages").join(paths, "path").join(shapes, ["source", "shape"]).join(sites, "source")
+    scored = scored.select("wording", (F.col("n") + prior).alias("n"), repeated.alias("repeated"), *smooth)
+    low = scored.select("wording", score(*[F.col(c) for c in [*sums, "n", "repeated"]]).alias("score")).where(F.col("score") < threshold)
+    return found.select("page", "line_no", "wording").join(low, "wording").select(F.col("page").alias("page_id"), "line_no", "score").distinct()
