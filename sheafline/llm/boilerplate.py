@@ -30,9 +30,8 @@ HEADINGS = (
     "antecedentes", "introducción", "objetivo", "objetivos", "método", "métodos", "resultado", "resultados", "discusión", "conclusión", "conclusiones", "limitaciones",
 )
 
-# Phrases by which a page addresses its visitor or names its publisher, for lower-case lines of at most LONGEST characters.
+# Phrases by which a page addresses its visitor or names its publisher, for lower-case lines of any length.
 # Each is tried only on lines that contain one of its parts, which is far cheaper than the pattern itself.
-LONGEST = 400
 CUES = {
     r"©|\(c\) \d{4}|\bcopyright \d{4}|all rights reserved|alle rechte vorbehalten|tous droits réservés|todos los derechos": ("©", "(c) ", "copyright", "rights reserved", "rechte vorbehalten", "droits réservés", "los derechos"),
     r"\b(?:we|site|website|partners|services?|page|us|journal|health|news|name) uses? (?:\w+ )?(?:cookies|trackers|tracking)|(?:we|partners) (?:process|store) device|small files on your device|\buses cookies\b|\bwe use cookies\b": ("cookies", "track", "device"),
@@ -53,8 +52,6 @@ _STARTS = re.compile(STARTS)
 
 def has_cue(low: str) -> bool:
     """Whether a lower-case line speaks for the page instead of the article."""
-    if len(low) > LONGEST:
-        return False
     return bool(_STARTS.match(low)) or any(any(x in low for x in parts) and c.search(low) for c, parts in _COMPILED)
 
 
@@ -66,7 +63,7 @@ def cue_column(low: Column) -> Column:
         for x in parts[1:]:
             some = some | low.contains(x)
         found = found | (some & low.rlike(c))
-    return (F.length(low) <= LONGEST) & found
+    return found
 
 
 _END = r"[.!?…:;][\"'”’»)\]]{0,3}(?:\s?\[\d+(?:[,–-]\s?\d+)*\])?$|\S{3,} \([^()]{3,80}\)$"

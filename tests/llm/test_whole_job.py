@@ -1,5 +1,7 @@
 """Cases that a narrower reading of a problem leaves out."""
 
+from pyspark.sql import functions as F
+
 from sheafline.llm import boilerplate
 
 
@@ -14,3 +16,10 @@ def test_furniture_by_repetition_and_path(spark):
     pages = spark.createDataFrame(rows, "page_id long, text string, source string")
     got = {(r["page_id"], r["line_no"]) for r in boilerplate.furniture(pages).collect()}
     assert got == {(i, 4) for i in range(60)} | {(100, 2)}
+
+
+def test_cues_in_lines_of_any_length(spark):
+    consent = ("we and our partners use cookies, tracking pixels and the like to remember your settings and to count visits. " * 5 + "by continuing you agree.").strip()
+    assert len(consent) > 400 and boilerplate.has_cue(consent) and not boilerplate.has_cue("z" * 1000)
+    df = spark.createDataFrame([(consent,), ("z" * 1000,)], "v string")
+    assert [r[0] for r in df.select(boilerplate.cue_column(F.col("v"))).collect()] == [True, False]
