@@ -119,12 +119,16 @@ def evidence(values: DataFrame, others: DataFrame, sentence_fields: tuple[str, .
     words = inside.join(final, ["field_name", "word"], "full").select("field_name", "word", F.coalesce("inside", F.lit(0)).alias("inside"), F.coalesce("final", F.lit(0)).alias("final"))
     words = cut(words)
     known = words.where("inside >= 2 or final >= 3")
-    starts = known.where(F.length("word") > 1).select("field_name", F.explode(F.transform(F.sequence(F.lit(1), F.length("word") - 1), lambda i: F.col("word").substr(F.lit(1), i))).alias("word"))
-    starts = starts.distinct().withColumn("start", F.lit(True))
+    begun = F.explode(F.transform(F.sequence(F.lit(1), F.length("word") - 1), lambda i: F.col("word").substr(F.lit(1), i))).alias("word")
+    starts = known.where(F.length("word") > 1).select("field_name", begun, (F.col("inside") + F.col("final")).alias("uses"))
+    starts = starts.groupBy("field_name", "word").agg(F.max("uses").alias("whole"))  # uses of the most usual word it begins
     words = words.join(starts, ["field_name", "word"], "full")
     rows = rows.withColumn("word", _word(F.col("stem"))).join(words, ["field_name", "word"], "left")
     inside, final = F.coalesce("inside", F.lit(0)), F.coalesce("final", F.lit(0))
-    rows = rows.withColumn("fragment", F.coalesce("start", F.lit(False)) & (inside < 2) & (final < 3))
+    # a fragment's uses are few beside those of a word it begins, however often the table repeats it; its own end is no evidence for it
+    others_end = final - (F.col("kind").isin("open", "ended") & ~F.col("pile")).cast("int")
+    few = (inside < F.greatest(F.lit(2.0), F.col("whole") * 0.0005)) & (others_end < F.greatest(F.lit(2.0), F.col("whole") * 0.1))
+    rows = rows.withColumn("fragment", F.col("whole").isNotNull() & few)
     rows = rows.withColumn("dangling", (inside >= 30) & (final < 0.01 * inside))
     rows = rows.withColumn("ends_well", (final >= 3) & (final >= 0.02 * inside))
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from sheafline.llm import boilerplate
+from sheafline.llm import boilerplate, cutoff
 
 
 def test_furniture_by_repetition_and_path(spark):
@@ -23,3 +23,12 @@ def test_cues_in_lines_of_any_length(spark):
     assert len(consent) > 400 and boilerplate.has_cue(consent) and not boilerplate.has_cue("z" * 1000)
     df = spark.createDataFrame([(consent,), ("z" * 1000,)], "v string")
     assert [r[0] for r in df.select(boilerplate.cue_column(F.col("v"))).collect()] == [True, False]
+
+
+def test_fragments_that_recur(spark):
+    rows = [("title", i, f"a{i % 200}", f"Long winter of the {w} region and its results in detail") for i, w in enumerate(["northern", "southern"] * 300)]
+    rows += [("title", 1000 + i, f"s{i}", f"{w} answers and the res") for i, w in enumerate(["Several late", "Only a few early", "No plain", "Some kind", "Any short"])]
+    rows += [("title", 2000 + i, f"s{i}", f"{w} who wrote to the result") for i, w in enumerate(["All people", "Few readers", "Many women", "Those men"] * 60)]  # a word of its own
+    values = spark.createDataFrame(rows, "field_name string, row_id long, source string, value string")
+    found = cutoff.cut_values(values, values.select("field_name", "value").limit(0))
+    assert {r["row_id"] for r in found.collect()} == set(range(1000, 1005))
