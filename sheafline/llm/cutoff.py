@@ -1,10 +1,11 @@
 """Values cut by a length limit or a broken transfer: self-join by prefix in sorted order, with length and word evidence.
 
-All distinct values are range-partitioned and sorted; a value that is a strict prefix of any other is one of its immediate
-successor, so the self-join needs no pairs within a group and no hot prefix can fill a task. A value is reported if
+All distinct values are range-partitioned and sorted; the values that a stem begins follow it without a gap, so each stem is
+carried forward past values that only add a mark to its first continuation, and no hot prefix can fill a task; the few stems
+still carried at the end of a partition are looked up by their first characters. A value is reported if
 
 * it ends in a damaged character;
-* it carries a cut mark, does not recur on many sites, and a longer copy exists, or its length falls where its source's marked values crowd, or (where a
+* it carries a cut mark and a longer copy exists, or it does not recur on many sites and its length falls where its source's marked values crowd, or (where a
   field's complete values end in sentence punctuation) neither holds but its last word is a fragment;
 * it carries no mark and a longer copy goes on within the same word or phrase, or its length is one at which its source's
   values pile up and it does not end as complete values do, or its last word is a fragment of a known word or one that
@@ -16,6 +17,7 @@ Counts of lengths and words cover all rows. Null and blank values are no cases;
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -26,46 +28,50 @@ from sheafline.session import cut
 
 _MARK = r"\s*(?:\.\.\.|…|\[…\]|\[\.\.\.\])$"
 _BROKEN = r"�+\s*$"
+_ONLY_MARK = r"\s*(?:\.\.\.|…|\[…\]|\[\.\.\.\])?\s*�*\s*"
 
 
 def with_longer(values: DataFrame, least: int = 15) -> DataFrame:
     """``field_name, stem, longer``: the text that goes on after each stem that is a strict prefix of another value.
 
-    ``values``: ``field_name, stem`` (looked up) and ``value``. Stems shorter than ``least`` have no copies.
+    Of several such values the first in sorted order that adds more than a cut mark counts. ``values``: ``field_name, stem`` (looked up) and ``value``. Stems shorter than ``least`` have no copies.
     """
     # one list of texts; flag 0 marks values that are only looked at as copies
     stems = values.where(F.length("stem") >= least).select("field_name", F.col("stem").alias("text"), F.lit(1).alias("asked"))
     texts = stems.unionByName(values.where(F.length("value") >= least).select("field_name", F.col("value").alias("text"), F.lit(0).alias("asked")))
     texts = texts.groupBy("field_name", "text").agg(F.max("asked").alias("asked"))
     parts = max(1, int(values.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ordered = texts.repartitionByRange(parts, "field_name", "text").sortWithinPartitions("field_name", "text").withColumn("part", F.spark_partition_id())
+    ordered = texts.repartitionByRange(parts, "field_name", "text").sortWithinPartitions("field_name", "text")
 
-    def neighbours(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        first, held = True, None
+    def carried(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        only_mark = re.compile(_ONLY_MARK).fullmatch
+        field, held = None, []  # stems of which each begins the next, without continuation so far
         for b in batches:
             out = []
-            for row in zip(b["field_name"], b["text"], b["asked"], b["part"]):
-                if first:
-                    out.append((row[0], row[1], None, 0, row[3], True, False))
-                    first = False
-                if held and held[2]:
-                    goes_on = row[1][len(held[1]) :] if row[0] == held[0] and row[1].startswith(held[1]) else None
-                    if goes_on:
-                        out.append((held[0], held[1], goes_on, 1, held[3], False, False))
-                held = row
-            yield pd.DataFrame(out, columns=["field_name", "stem", "longer", "asked", "part", "first", "last"])
+            for name, text, asked in zip(b["field_name"], b["text"], b["asked"]):
+                still = []
+                for x in held if name == field else ():
+                    if text.startswith(x):
+                        if only_mark(text, len(x)):
+                            still.append(x)
+                        else:
+                            out.append((name, x, text[len(x) :]))
+                field, held = name, [*still, text] if asked else still
+            yield pd.DataFrame(out, columns=["field_name", "stem", "longer"])
         if held:
-            yield pd.DataFrame([(held[0], held[1], None, held[2], held[3], False, True)], columns=["field_name", "stem", "longer", "asked", "part", "first", "last"])
+            yield pd.DataFrame([(field, x, None) for x in held], columns=["field_name", "stem", "longer"])
 
-    schema = "field_name string, stem string, longer string, asked int, part int, first boolean, last boolean"
-    seen = cut(ordered.mapInPandas(neighbours, schema))  # once: another run could draw other borders
+    seen = cut(ordered.mapInPandas(carried, "field_name string, stem string, longer string"))  # once: another run could draw other borders
     inner = seen.where("longer is not null").select("field_name", "stem", "longer")
-    # borders: two rows per partition, so one small window sees them all
-    edges = seen.where("last or first").withColumn("at", F.struct("part", "last"))
-    beside = Window.orderBy("at")
-    edges = edges.select("field_name", "stem", "asked", "last", F.lead("field_name").over(beside).alias("next_field"), F.lead("stem").over(beside).alias("next"))
-    border = edges.where(F.col("last") & (F.col("asked") == 1) & (F.col("next_field") == F.col("field_name")) & F.col("next").startswith(F.col("stem")))
-    return inner.unionByName(border.select("field_name", "stem", F.expr("substring(next, length(stem) + 1)").alias("longer")))
+    # borders: the stems that a partition leaves (each begins the next one) meet the texts that start like them
+    # (a few a partition, so that Spark knows their size and need not shuffle the texts)
+    held = seen.where("longer is null").select("field_name", "stem", F.substring("stem", 1, least).alias("start"))
+    left = values.sparkSession.createDataFrame(held.collect(), held.schema)
+    later = stems.unionByName(values.select("field_name", F.col("value").alias("text"), F.lit(0).alias("asked"))).where(F.length("text") >= least)
+    later = later.select("field_name", "text", F.substring("text", 1, least).alias("start")).join(left, ["field_name", "start"])
+    later = later.where(F.col("text").startswith(F.col("stem"))).select("field_name", "stem", "text", F.expr("substring(text, length(stem) + 1)").alias("longer"))
+    later = later.where(~F.col("longer").rlike("^(?:" + _ONLY_MARK + ")$"))
+    return inner.unionByName(later.groupBy("field_name", "stem").agg(F.min_by("longer", "text").alias("longer")))
 
 
 def _words(text: Column) -> Column:
@@ -147,8 +153,8 @@ def cut_values(values: DataFrame, others: DataFrame, sentence_fields: tuple[str,
     copy = F.coalesce(c("copy"), F.lit(False))
     why = (
         F.when(c("kind") == "broken", "damaged end")
+        .when((c("kind") == "marked") & copy, "marked, longer copy")
         .when(c("recurring"), None)
-        .when((c("kind") == "marked") & copy & ~F.coalesce(c("longer").rlike(_MARK) & (F.length("longer") <= 5), F.lit(False)), "marked, longer copy")
         .when((c("kind") == "marked") & c("crowd") & (F.length("stem") >= 40), "marked, at the limit")
         .when((c("kind") == "marked") & (c("fragment") | (c("dangling") & ~sentence)) & (F.length("stem") >= 40), "marked, broken phrase")
         .when(c("kind") == "marked", None)

@@ -32,3 +32,24 @@ def test_fragments_that_recur(spark):
     values = spark.createDataFrame(rows, "field_name string, row_id long, source string, value string")
     found = cutoff.cut_values(values, values.select("field_name", "value").limit(0))
     assert {r["row_id"] for r in found.collect()} == set(range(1000, 1005))
+
+
+def test_copies_behind_marked_ones(spark):
+    full = ["Effect of coffee on the sleep of nurses", "Walking to school and the weight of pupils", "Noise at night and the hearts of neighbours"]
+    rows = [("title", i, "a", v) for i, v in enumerate(full)]
+    rows += [("title", 100, "b", "Effect of coffee on the sl..."), ("title", 101, "b", "Effect of coffee on the ..."), ("title", 102, "c", "Walking to school and the wei"), ("title", 103, "d", "Walking to school and the wei...")]
+    rows += [("title", 200 + i, s, "Noise at night and the hea...") for i, s in enumerate("efgh")]  # one width on several sites
+    rows += [("title", 300 + i, s, "And then it came back again ...") for i, s in enumerate("efgh")]  # authors end it so
+    values = spark.createDataFrame(rows, "field_name string, row_id long, source string, value string")
+    found = cutoff.cut_values(values, values.select("field_name", "value").limit(0)).collect()
+    assert {r["row_id"]: r["why"] for r in found} == {100: "marked, longer copy", 101: "marked, longer copy", 102: "longer copy", 103: "marked, longer copy"} | {200 + i: "marked, longer copy" for i in range(4)}
+    # stems whose continuation lies two partitions on
+    spark.conf.set("spark.sql.shuffle.partitions", "9")
+    try:
+        stem = "Effect of coffee on the"
+        texts = [stem, *[stem + " " * k + m for k in range(12) for m in ("...", "…", "[…]")], stem + " sleep of nurses"]
+        df = spark.createDataFrame([("t", x, x) for x in texts], "field_name string, stem string, value string")
+        got = {r["stem"]: r["longer"] for r in cutoff.with_longer(df).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert got[stem] == " sleep of nurses"
