@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from sheafline.llm import boilerplate, cutoff
+from sheafline.llm import batches, boilerplate, cutoff
 
 
 def test_furniture_by_repetition_and_path(spark):
@@ -53,3 +53,12 @@ def test_copies_behind_marked_ones(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert got[stem] == " sleep of nurses"
+
+
+def test_near_forms_in_crowded_blocks(spark):
+    words = [a + b + c for a in ("bado", "kiru", "melu", "sofi", "tane", "vuga") for b in ("rimo", "pesa", "luki", "doge", "hany") for c in ("tex", "lin", "mab", "zol")]
+    forms = [f"outcome care {w} sharedname" for w in words] + ["outcme care group bravename sharedname", "outcome car group bravename sharedname"]
+    table = batches.pivot_table(spark.createDataFrame([(f,) for f in forms], "head string"), [])
+    pairs = lambda crowd: {tuple(r) for r in batches.near_forms(table, crowd=crowd).collect()}
+    assert tuple(sorted(forms[-2:])) in pairs(10)
+    assert pairs(10) == pairs(100_000)
