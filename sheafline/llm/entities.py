@@ -73,7 +73,7 @@ def prepared(records: DataFrame, side: str, id_col: str = "paper_id") -> DataFra
 def _titled(records: DataFrame) -> DataFrame:
     """Adds ``bag`` (corrected words, sorted), ``sig`` (numbers and markers), ``rare`` (words that are no usual ones) and ``frame`` (the usual ones)."""
     heads = records.where("head is not null").select("head").distinct()
-    known = records.sparkSession.sparkContext.broadcast(frequent_words(heads))
+    known = records.sparkSession.sparkContext.broadcast(frequent_words(heads, share=0.003))
     made: dict[int, Speller] = {}
 
     def apply(b: pd.DataFrame) -> pd.DataFrame:

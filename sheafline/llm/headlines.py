@@ -104,6 +104,14 @@ class Speller:
             out = out | level
         return out
 
+    def _allowed(self, w: str) -> int:
+        return 1 if len(w) < 8 else self.most
+
+    def near(self, w: str) -> set[str]:
+        """Other frequent words that ``w`` may be a slip of."""
+        found = {x for d in self._deletes(w) for x in self.index.get(d, ())} - {w}
+        return {x for x in found if edits(w, x, self.most) <= self._allowed(w)}
+
     def __call__(self, w: str) -> str:
         if w in self.frequent or w in MARKERS or len(w) < self.least - 1 or any(c.isdigit() for c in w):
             return w
@@ -114,8 +122,14 @@ class Speller:
                 for x in self.index.get(d, ()):
                     best.setdefault(edits(w, x, self.most), set()).add(x)
             k = min(best, default=99)
-            allowed = 1 if len(w) < 8 else self.most
+            allowed = self._allowed(w)
             got = next(iter(best[k])) if k <= allowed and len(best[k]) == 1 else w
             if len(self.memo) < 500_000:
                 self.memo[w] = got
         return got
+
+
+def without_slips(uses: dict[str, int], times: int = 50) -> list[str]:
+    """Frequent words but those that are a slip away from a word that is used ``times`` as often."""
+    spell = Speller(list(uses))
+    return [w for w in uses if len(w) < spell.least or w in MARKERS or not any(uses[x] >= times * uses[w] for x in spell.near(w))]
