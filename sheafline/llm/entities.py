@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sheafline.llm import passages as P
-from sheafline.llm.batches import frequent_words
+from sheafline.llm.batches import frequent_words, jump
 from sheafline.llm.headlines import LIGHT, MARKERS, UNTITLED, Speller, fold, words
 from sheafline.session import cut, spread
 
@@ -156,7 +156,7 @@ def rule_precision(records: DataFrame, links: DataFrame, prior: float = 0.9, wei
     return pairs.groupBy("rule").agg(n.alias("labelled"), k.alias("agreeing"), ((k + prior * weight) / (n + weight)).alias("precision"))
 
 
-def matches(pdf: DataFrame, html: DataFrame, id_col: str = "paper_id", most_rounds: int = 20) -> DataFrame:
+def matches(pdf: DataFrame, html: DataFrame, id_col: str = "paper_id") -> DataFrame:
     """``pdf_id, html_id, confidence`` of each pair of records that stand for one paper."""
     records, links = cascade(pdf, html, id_col)
     links = cut(links)
@@ -165,9 +165,10 @@ def matches(pdf: DataFrame, html: DataFrame, id_col: str = "paper_id", most_roun
     both = cut(both)
     own = both.groupBy(F.col("a").alias("id")).agg(F.max("precision").alias("own"))
     labels = own.select("id", F.col("id").alias("label"))
-    for _ in range(most_rounds):
+    while True:
         least = both.join(labels.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.min("label").alias("least"))
-        now = cut(labels.join(least, "id").select("id", F.least("label", "least").alias("label"), (F.col("least") < F.col("label")).alias("moved")))
+        now = labels.join(least, "id").select("id", F.least("label", "least").alias("label"), (F.col("least") < F.col("label")).alias("moved"))
+        now = cut(jump(cut(now), "id", "label"))
         changed = now.where("moved").limit(1).count()
         labels = now.drop("moved")
         if not changed:

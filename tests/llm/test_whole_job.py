@@ -72,3 +72,11 @@ def test_frequent_words_of_large_tables(spark):
     records = heads.selectExpr("monotonically_increasing_id() id", "'pdf' side", "string(null) doi", "head", "array('a') names")
     got = {r["head"]: r for r in entities._titled(records).where("head like '%mibekufokax' or head like 'cacner%'").collect()}
     assert got["cacner mibekufokax"]["rare"] == ["mibekufokax"] and got["cacner mibekufokax"]["frame"] == "cancer"
+
+
+def test_long_chains_have_one_label(spark):
+    n = 90
+    edges = spark.createDataFrame([(i, i + 1) for i in range(n)], "a long, b long")
+    assert {r["near"] for r in batches.components(edges).collect()} == {0}
+    rows = spark.createDataFrame([(i, (i + 1) // 2, i // 2) for i in range(n)], "seq long, page long, form long")
+    assert {r["first"] for r in batches.first_of(rows).collect()} == {0}
