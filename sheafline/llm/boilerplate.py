@@ -1,24 +1,23 @@
-"""Page furniture between the lines of an article: path ratios over all pages.
+"""Page furniture between the lines of an article: tag-path ratios over all pages.
 
 Text extracted from a page keeps no tags, so a line's path is the site and the line's first words with numbers and the
-site's own name masked: the leaf that a template would have produced. Over all pages and lines of a path, text length,
-punctuation, sentence ends within lines, and lines of a body's or of a furniture's shape (how a line ends, how it is split,
-cue phrases) are added up. The ratios of a path are smoothed with the line's own shape on that site, so that lines of short
-paths lean on their shape and those of long ones on their path, and fused with the share of the site's pages that have the
-whole line. Lines whose score is below the threshold are furniture.
+site's own name masked: the leaf that one element of a template would have produced. Over all pages and all lines of a
+path these are added up: text length, punctuation, lines that end as sentences do, words by which pages speak of
+themselves and their visitors, the site's own name, lines outside the page's span of paragraphs, and the share of the
+site's pages that have the very wording. The ratios of a path are smoothed with those of the same leaf on all sites,
+fused into one score and thresholded; all lines of a path share its fate, whatever a single line looks like.
 
 Section headings, list entries and box captions carry no sentence punctuation although they are body; their forms count
-as sentences, and as they recur by nature their repetition does not count. Null text has no lines; blank lines are no result; line numbers count blank lines.
+as sentences, and as they recur by nature their repetition does not count. Null text has no lines; blank lines are no
+result; line numbers count blank lines; repeated rows count as one page in repetition and give one row.
 """
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheafline.session import spread
+from sheafline.session import cut
 
 # Names of article sections in English, German, French and Spanish.
 HEADINGS = (
@@ -30,47 +29,39 @@ HEADINGS = (
     "antecedentes", "introducción", "objetivo", "objetivos", "método", "métodos", "resultado", "resultados", "discusión", "conclusión", "conclusiones", "limitaciones",
 )
 
-# Phrases by which a page addresses its visitor or names its publisher, for lower-case lines of any length.
-# Each is tried only on lines that contain one of its parts, which is far cheaper than the pattern itself.
-CUES = {
-    r"©|\(c\) \d{4}|\bcopyright \d{4}|all rights reserved|alle rechte vorbehalten|tous droits réservés|todos los derechos": ("©", "(c) ", "copyright", "rights reserved", "rechte vorbehalten", "droits réservés", "los derechos"),
-    r"\b(?:we|site|website|partners|services?|page|us|journal|health|news|name) uses? (?:\w+ )?(?:cookies|trackers|tracking)|(?:we|partners) (?:process|store) device|small files on your device|\buses cookies\b|\bwe use cookies\b": ("cookies", "track", "device"),
-    r"(?:verwenden|nutzen|nutzt|verwendet) (?:cookies|tracking)|utilis\w+ des (?:cookies|traceurs)|stockent des informations|usamos cookies|utiliza (?:cookies|identificadores)": ("cookies", "track", "traceurs", "stockent des", "identificadores"),
-    r"by continuing|mit klick auf|stimmen sie zu|en poursuivant|al continuar|\bgot it\b|\(\d+ partners\)|manage choices|accept all|alle akzeptieren|tout accepter|aceptar todo": ("continu", "klick", "stimmen sie", "poursuivant", "got it", "partners)", "manage", "accept", "akzeptieren", "aceptar"),
-    r"\bis published by\b|wird herausgegeben von|est (?:publié|édité) par|es una publicación de": ("published by", "herausgegeben von", "é par", "publicación de"),
-    r"enter your email|in your inbox|sign up for (?:the|our)|subscribers can|readers who get|enjoying this|support independent|support our (?:work|journalism)|get the (?:latest|best)": ("email", "inbox", "sign up for", "subscribers can", "readers who", "enjoying", "support", "get the"),
-    r"book (?:today|now)|buy now|find clinics near|special offer|jetzt buchen|réservez|reserve (?:hoy|ahora)": ("book ", "buy now", "clinics near", "special offer", "jetzt buchen", "réservez", "reserve "),
-}
-# The same, at the start of a line.
-STARTS = (
-    r"(?:advertisement|sponsored|anzeige|publicité|publicidad)\b|(?:follow|folgen sie|suivez|siga a)\b|(?:most read|read next|related|you may also like|more from|trending|latest)\b"
-    r"|(?:skip to|back to|zum inhalt|nach oben|aller au|haut de|saltar al|volver arriba)\b|(?:share|print|email|save for|request|report a|listen to|text size|comments)\b.{0,40}$"
-)
-_COMPILED = [(re.compile(c), parts) for c, parts in CUES.items()]
-_STARTS = re.compile(STARTS)
-
-
-def has_cue(low: str) -> bool:
-    """Whether a lower-case line speaks for the page instead of the article."""
-    return bool(_STARTS.match(low)) or any(any(x in low for x in parts) and c.search(low) for c, parts in _COMPILED)
-
 
-def cue_column(low: Column) -> Column:
-    """The same as a column."""
-    found = low.rlike("^(?:" + STARTS + ")")
-    for c, parts in CUES.items():
-        some = low.contains(parts[0])
-        for x in parts[1:]:
-            some = some | low.contains(x)
-        found = found | (some & low.rlike(c))
-    return found
+# Words by which pages speak of themselves and address their visitors, in English, German, French and Spanish.
+VISITOR = frozenset(
+    "site website page pages article story stories newsletter subscribe subscriber subscribers subscription account cookie cookies device"
+    " partners tracking trackers privacy inbox email mail you your our us join follow share listen read enjoying support advertisement"
+    " sponsored rights reserved published copyright © accept agree choices ok menu search home contact terms sign log free offer book buy"
+    " sie ihre ihr seite datenschutz klick rechte vorbehalten herausgegeben akzeptieren nutzt verwendet anzeige folgen konto anmelden abonnieren partner einstellungen"
+    " vous votre vos traceurs droits réservés publié édité accepter suivez publicité compte partenaires poursuivant abonnez abonner stockent appareil"
+    " usted su sus sitio derechos reservados publicación aceptar siga publicidad cuenta socios suscríbase utiliza identificadores navegación".split()
+)
 
+#: What is added up for a path, and how the smoothed ratios are fused; the sum is positive for furniture.
+WEIGHTS = {"length": -1.0, "marks": -0.5, "said": -5.0, "visitor": 6.0, "named": 2.0, "repeated": 3.0, "outside": 2.0}
+BASE = 2.3
 
-_END = r"[.!?…:;][\"'”’»)\]]{0,3}(?:\s?\[\d+(?:[,–-]\s?\d+)*\])?$|\S{3,} \([^()]{3,80}\)$"
+_END = r"[.!?…:;][\"'”’»)\]]{0,3}(?:\s?\[\d+(?:[,–-]\s?\d+)*\])?$|\S{3,} \([^()]*\p{L}[^()]{2,80}\)$"
 
 
-def _features(df: DataFrame) -> DataFrame:
-    """Path, wording and what is counted for them, from rows ``page, source, line_no, line``."""
+def lines(pages: DataFrame, page_id: str = "page_id", text: str = "text", source: str = "source") -> DataFrame:
+    """``page, source, line_no, line, outside`` of every non-blank line; ``outside``: before the page's first or after its last paragraph."""
+    rows = pages.select(F.col(page_id).cast("long").alias("page"), F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source"), F.col(text).cast("string").alias("text")).where("text is not null")
+    parts = F.transform(F.split("text", "\n", -1), lambda x, i: F.struct((i + 1).cast("long").alias("no"), F.regexp_replace(x, r"(?U)^\s+|\s+$", "").alias("line")))
+    rows = rows.select("page", "source", F.filter(parts, lambda x: F.length(x["line"]) > 0).alias("parts"))
+    paragraphs = F.transform(F.filter("parts", lambda x: (F.length(x["line"]) >= 100) & F.right(x["line"], F.lit(4)).rlike("[.!?]")), lambda x: x["no"])
+    rows = rows.withColumn("_span", F.explode(F.array(F.struct(F.array_min(paragraphs).alias("first"), F.array_max(paragraphs).alias("last")))))
+    rows = rows.select("page", "source", "_span", F.explode("parts").alias("part"))
+    no, span = F.col("part.no"), F.col("_span")
+    outside = F.coalesce((no < span["first"]) | (no > span["last"]), F.lit(True))
+    return rows.select("page", "source", no.alias("line_no"), F.col("part.line").alias("line"), outside.cast("double").alias("outside"))
+
+
+def features(rows: DataFrame) -> DataFrame:
+    """``page, source, line_no, leaf, wording, recurs`` and what is added up, from the rows of :func:`lines`."""
     line = F.col("line")
     name = F.lower(F.regexp_replace("source", "[_-]+", " "))
     low = F.lower(line)
@@ -78,59 +69,55 @@ def _features(df: DataFrame) -> DataFrame:
     masked = F.when(F.length(name) > 2, F.replace(masked, name, F.lit("name"))).otherwise(masked)
     site = F.split_part(name, F.lit(" "), F.lit(1))
     masked = F.when(F.length(site) > 2, F.replace(masked, site, F.lit("name"))).otherwise(masked)
-    df = df.withColumn("masked", F.explode(F.array(F.coalesce(masked, F.regexp_replace(low, r"\d[\d.,:]*", "9")))))
+    df = rows.withColumn("masked", F.explode(F.array(masked)))
     masked = F.col("masked")
-    cue = cue_column(masked)
-    split = line.rlike(r"\S(?:\s*[|>»•·]\s*|\s{2,}|\t)\S.*\S(?:\s*[|>»•·]\s*|\s{2,}|\t)\S|^[^.]{1,60} [|>»·] [^.]{1,60}$|[A-Z] [A-Z] [A-Z]$")
+    df = df.withColumn("words", F.explode(F.array(F.filter(F.split(masked, r"[^\p{L}\p{N}©]+"), lambda w: F.length(w) > 0))))
     heading = F.regexp_replace(masked, r"^(?:9\.? ?)+|[:.]$", "").isin(*dict.fromkeys(HEADINGS)) & (F.length(line) < 60)
-    entry = line.rlike(r"^\s*(?:[-–—*•◦▪]|\(?[a-z]\))\s+\S")
+    entry = line.rlike(r"^(?:[-–—*•◦▪]|\(?[a-z]\))\s+\S")
     caption = masked.rlike(r"^(?:box|table|figure|fig\.|kasten|tabelle|abbildung|encadré|tableau|recuadro|tabla|cuadro|figura) ?9\b")
-    sentence = line.rlike(_END) & (F.size(F.split(masked, " ")) >= 4)
-    shape = (
-        F.when(cue, "cue").when(split, "split").when(heading, "heading").when(caption, "caption").when(entry, "entry").when(sentence, "sentence").otherwise("bare")
-    )
-    words = F.array_join(F.slice(F.split(masked, " "), 1, 4), " ")
-    df = df.withColumn("shape", F.explode(F.array(shape)))
-    punct = F.length(line) - F.length(F.regexp_replace(line, r"[.!?;:,]", ""))
-    inner = F.when(F.col("shape") == "bare", F.least(F.regexp_count(line, F.lit(r"[\p{L})][.!?][\"'”’»)\]]{0,3} \p{Lu}")), F.lit(2))).otherwise(0)
+    df = df.withColumn("form", F.explode(F.array(heading | entry | caption)))
+    said = F.col("form") | (F.substring(line, -90, 90).rlike(_END) & (F.size("words") >= 4))
+    hits = F.size(F.array_intersect("words", F.array(*[F.lit(w) for w in sorted(VISITOR)])))
+    punct = F.length(line) - F.length(F.translate(line, ".!?;:,", ""))
     return df.select(
-        "page", "source", "line_no", "shape", F.xxhash64("source", words).alias("path"), F.xxhash64("source", "shape", masked).alias("wording"), F.length(line).alias("chars"), punct.alias("punct"), inner.alias("inner"),
-        F.col("shape").isin("sentence", "heading", "caption", "entry").cast("int").alias("said"), F.col("shape").isin("cue", "split").cast("int").alias("cued"),
+        "page", "source", "line_no", "outside",
+        F.xxhash64(F.array_join(F.slice(F.split(masked, " "), 1, 4), " ")).alias("leaf"),
+        F.xxhash64(masked).alias("wording"),
+        (~F.col("form")).alias("recurs"),
+        F.least(F.log1p(F.length(line)) / F.log(F.lit(120.0)), F.lit(1.2)).alias("length"),
+        (F.least(punct, F.lit(3)) / 3).alias("marks"),
+        said.cast("double").alias("said"),
+        F.least(3 * hits / F.greatest(F.size("words"), F.lit(1)), F.lit(1.0)).alias("visitor"),
+        F.array_contains("words", "name").cast("double").alias("named"),
     )
 
 
-def lines(pages: DataFrame, page_id: str = "page_id", text: str = "text", source: str = "source") -> DataFrame:
-    """``page, source, line_no, line`` of every non-blank line."""
-    rows = spread(pages.select(F.col(page_id).cast("long").alias("page"), F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source"), F.col(text).cast("string").alias("text")))
-    rows = rows.select("page", "source", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
-    rows = rows.select("page", "source", (F.col("pos") + 1).cast("long").alias("line_no"), F.regexp_replace("line", r"(?U)^\s+|\s+$", "").alias("line"))
-    return rows.where(F.length("line") > 0)
-
-
-def score(chars: Column, punct: Column, inner: Column, said: Column, cued: Column, n: Column, repeated: Column) -> Column:
-    """Score of a line from the sums of its path: text and punctuation for the body, cues, separators and repetition against it."""
-    density = F.least(F.log1p(chars / n) / F.log(F.lit(120.0)), F.lit(1.2))
-    marks = F.least(punct / n, F.lit(3.0)) / 3
-    return density * 0.5 + marks * 0.5 + (inner / n) * 0.5 + (said / n) * 2 - (cued / n) * 3 - repeated * 6
+def fused(value) -> Column:
+    """The score from the ratios that ``value`` gives by name."""
+    total = F.lit(BASE)
+    for name, weight in WEIGHTS.items():
+        total = total + weight * value(name)
+    return total
 
 
-def furniture(pages: DataFrame, page_id: str = "page_id", text: str = "text", source: str = "source", threshold: float = 1.4, prior: float = 3.0, prior_pages: float = 20.0) -> DataFrame:
-    """``page_id, line_no, score`` of each non-blank line that is not body. A source that is null is a site of its own.
+def paths(found: DataFrame, sites: DataFrame, prior: float = 3.0, prior_pages: float = 20.0) -> DataFrame:
+    """``source, leaf, score`` of each path.
 
-    Sums per wording are built before the shuffle; a path is keyed by site and wording, so that no key holds a large share
-    of the lines, and the sums per path and per shape (a few per site) come from the sums per wording. ``prior`` is the
-    number of lines as which a line's own shape counts beside its path, ``prior_pages`` that of pages without the line.
+    Sums per wording are built before the shuffle and those per path and leaf come from them, so that no key holds a
+    large share of the lines. ``prior``: lines as which the leaf's ratios on all sites count beside the site's own;
+    ``prior_pages``: pages without the wording that every site has besides its own.
     """
-    rows = lines(pages, page_id, text, source)
-    found = _features(rows)
-    sums = ["chars", "punct", "inner", "said", "cued"]
-    wordings = found.groupBy("source", "path", "shape", "wording").agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in sums], F.countDistinct("page").alias("pages"))
-    paths = wordings.groupBy("path").agg(*[F.sum(c).alias(c) for c in ["n", *sums]])
-    shapes = wordings.groupBy("source", "shape").agg(*[(F.sum(c) / F.sum("n")).alias(f"{c}_mean") for c in sums])
-    sites = rows.groupBy("source").agg(F.countDistinct("page").alias("all_pages"))
-    smooth = [(F.col(c) + prior * F.col(f"{c}_mean")).alias(c) for c in sums]
-    repeated = F.when(F.col("shape").isin("heading", "caption", "entry"), 0.0).otherwise(F.col("pages") / (F.col("all_pages") + prior_pages))
-    scored = wordings.select("source", "path", "shape", "wording", "pages").join(paths, "path").join(shapes, ["source", "shape"]).join(sites, "source")
-    scored = scored.select("wording", (F.col("n") + prior).alias("n"), repeated.alias("repeated"), *smooth)
-    low = scored.select("wording", score(*[F.col(c) for c in [*sums, "n", "repeated"]]).alias("score")).where(F.col("score") < threshold)
-    return found.select("page", "line_no", "wording").join(low, "wording").select(F.col("page").alias("page_id"), "line_no", "score").distinct()
+    sums = [c for c in WEIGHTS if c != "repeated"]
+    wordings = found.groupBy("source", "leaf", "wording", "recurs").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("page").alias("pages"), *[F.sum(c).alias(c) for c in sums])
+    repeated = F.when(F.col("recurs"), F.col("n") * F.col("pages") / (F.col("all_pages") + prior_pages)).otherwise(0.0)
+    own = wordings.join(sites, "source").withColumn("repeated", repeated).groupBy("source", "leaf").agg(*[F.sum(c).alias(c) for c in ["n", *WEIGHTS]])
+    leaves = own.groupBy("leaf").agg(*[(F.sum(c) / F.sum("n")).alias(f"{c}_all") for c in WEIGHTS])
+    return own.join(leaves, "leaf").select("source", "leaf", fused(lambda c: (F.col(c) + prior * F.col(f"{c}_all")) / (F.col("n") + prior)).alias("score"))
+
+
+def furniture(pages: DataFrame, page_id: str = "page_id", text: str = "text", source: str = "source", threshold: float = 0.0) -> DataFrame:
+    """``page_id, line_no, score`` of each non-blank line that is not body. A source that is null is a site of its own."""
+    found = cut(features(lines(pages, page_id, text, source)))  # read twice below
+    sites = found.select("source", "page").distinct().groupBy("source").agg(F.count(F.lit(1)).alias("all_pages"))
+    low = paths(found, sites).where(F.col("score") > threshold)
+    return found.select("page", "line_no", "source", "leaf").join(low, ["source", "leaf"]).select(F.col("page").alias("page_id"), "line_no", "score").distinct()

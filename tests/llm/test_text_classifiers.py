@@ -43,19 +43,42 @@ def test_residue(spark):
     assert residue.residue(pages.limit(0)).count() == 0
 
 
+ASIDE = ["Home | News | Search | Sign in", "Home > News > Some", "We use cookies so that pages load faster. OK, got it", "Advertisement", "Read next", "1. Why adults in Rome wait longer for treatment of gout than others", "© 2024 Some Journal. All rights reserved.", "Back to top", "Contact"]
+
+
+def _site(n=12):
+    """Texts of pages of one site and the numbers of their furniture lines."""
+    texts, want = {}, set()
+    for i in range(n):
+        body = ["Results", *(SENTENCES[(i + 7 * k) % len(SENTENCES)] + " " + SENTENCES[(i + 5 * k + 3) % len(SENTENCES)] for k in range(3)), "- 12 of 40 adults had asthma", "Box 2. Risk by dose of tablets"]
+        body.append(f"Staff had to log in to the ward system before ward {i} was opened to adults." + " " + SENTENCES[i])
+        ls = ASIDE[:4] + ["", " "] + body + ASIDE[4:]
+        texts[i] = "\n".join(ls)
+        want |= {(i, k) for k, x in enumerate(ls, 1) if x in ASIDE}
+    return texts, want
+
+
 def test_furniture(spark):
-    body = ["Results", *SENTENCES[:3], "- 12 of 40 adults had asthma", "Box 2. Risk by dose of tablets", "Patients were asked to log in and to accept cookies baked with starch."]
-    aside = ["Home | News | Search | Sign in", "Home > News > Some", "We use cookies so that pages load faster. OK, got it", "Advertisement", "Read next", "1. Why adults in Rome wait longer for treatment of gout than others", "© 2024 Some Journal. All rights reserved.", "Back to top", "Contact"]
-    text = "\n".join(aside[:4] + ["", " "] + body + aside[4:])
-    rows = [(i, text, "some_journal") for i in range(5)] + [(9, None, "x"), (10, "", "x"), (11, "Contact\n" + SENTENCES[0], None), (12, "w " * 20000 + "end.", "x")]
+    texts, want = _site()
+    rows = [(i, t, "some_journal") for i, t in texts.items()] + [(90, None, "x"), (91, "", "x"), (92, "Contact\n" + SENTENCES[0] + " " + SENTENCES[1], None), (93, "w " * 20000 + "end.", "x")]
     pages = spark.createDataFrame([(*r, 1, 2.0) for r in rows], "page_id long, text string, source string, line_no int, score double")
-    lines = text.split("\n")
-    want = {(p, n + 1) for p in range(5) for n, line in enumerate(lines) if line in aside} | {(11, 1)}
-    assert {(r["page_id"], r["line_no"]) for r in boilerplate.furniture(pages).collect()} == want
+    got = lambda df: {(r["page_id"], r["line_no"]) for r in boilerplate.furniture(df).collect()}
+    assert got(pages) == want | {(92, 1)}
+    assert got(pages.unionByName(pages)) == want | {(92, 1)}
     assert boilerplate.furniture(pages.limit(0)).count() == 0
-    with_cue = [boilerplate.has_cue(x.lower()) for x in [*aside, *body, "z" * 1000]]
-    column = [r[0] for r in spark.createDataFrame([(i, x) for i, x in enumerate([*aside, *body, "z" * 1000])], "i int, v string").orderBy("i").select(boilerplate.cue_column(F.lower("v"))).collect()]
-    assert with_cue == column
+
+
+def test_furniture_is_decided_by_paths(spark):
+    """A notice that looks like a sentence, and a paragraph that looks like a notice, follow the other lines of their paths."""
+    texts, want = _site()
+    texts[0] += "\nWe use cookies so that readers find what they asked for at once."  # alone: a sentence
+    want.add((0, texts[0].count("\n") + 1))
+    texts[1] = texts[1].replace(SENTENCES[1 + 0], SENTENCES[1].rstrip("."), 1)
+    pages = spark.createDataFrame([(i, t, "some_journal") for i, t in texts.items()], "page_id long, text string, source string")
+    assert {(r["page_id"], r["line_no"]) for r in boilerplate.furniture(pages).collect()} == want
+    found = boilerplate.features(boilerplate.lines(pages)).withColumn("repeated", F.lit(0.0))
+    alone = {(r["page"], r["line_no"]) for r in found.where(boilerplate.fused(F.col) > 0).select("page", "line_no").collect()}
+    assert want - alone and (0, texts[0].count("\n") + 1) not in alone
 
 
 @pytest.mark.parametrize("raw,plain", [("y0u st*pid 1d10t", "you stupid idiot"), ("i.d.i.o.t", "idiot"), ("You MOOOROOON", "you moron"), ("m0r0n 12 of 40 in 2024", "moron 12 of 40 in 2024"), ("crét​in", "cretin"), ("plain text", "plain text")])
