@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheafline.session import cut
+from sheafline.session import cut, spread
 
 # Names of article sections in English, German, French and Spanish.
 HEADINGS = (
@@ -49,7 +49,7 @@ _END = r"[.!?…:;][\"'”’»)\]]{0,3}(?:\s?\[\d+(?:[,–-]\s?\d+)*\])?$|\S{3,
 
 def lines(pages: DataFrame, page_id: str = "page_id", text: str = "text", source: str = "source") -> DataFrame:
     """``page, source, line_no, line, outside`` of every non-blank line; ``outside``: before the page's first or after its last paragraph."""
-    rows = pages.select(F.col(page_id).cast("long").alias("page"), F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source"), F.col(text).cast("string").alias("text")).where("text is not null")
+    rows = spread(pages.select(F.col(page_id).cast("long").alias("page"), F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source"), F.col(text).cast("string").alias("text")).where("text is not null"))
     parts = F.transform(F.split("text", "\n", -1), lambda x, i: F.struct((i + 1).cast("long").alias("no"), F.regexp_replace(x, r"(?U)^\s+|\s+$", "").alias("line")))
     rows = rows.select("page", "source", F.filter(parts, lambda x: F.length(x["line"]) > 0).alias("parts"))
     paragraphs = F.transform(F.filter("parts", lambda x: (F.length(x["line"]) >= 100) & F.right(x["line"], F.lit(4)).rlike("[.!?]")), lambda x: x["no"])

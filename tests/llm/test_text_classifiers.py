@@ -86,20 +86,22 @@ def test_undisguise(raw, plain):
     assert abuse.undisguise(raw) == plain
 
 
-def test_abuse_held_out(spark):
-    groups = [f"group{i}" for i in range(12)]
-    bad = [f"You are a filthy crook and everyone in {g} knows it!" for g in groups] + [f"The {g} are vermin and should be thrown out of every hospital." for g in groups] + [f"Shut your mouth you idiot from {g}." for g in groups]
+def test_abuse_beyond_confirmed_examples(spark):
+    groups = [f"group{c}" for c in "abcdefghijkl"]
+    seeds = [f"You are a filthy crook and everyone in {g} knows it!" for g in groups] + [f"The {g} are vermin, they breed disease and should be thrown out." for g in groups] + [f"Shut your mouth you idiot from {g}." for g in groups]
+    unseen = [f"That man is a filthy crook and everyone in {g} knows it!" for g in groups]  # no list confirms these
     fine = SENTENCES + [f'Posts that called nurses "vermin" or "idiots" made up {n} percent of the threads in {g}.' for n, g in enumerate(groups)] + [f"This is a weak trial and I am angry about {g}." for g in groups]
+    assert all(abuse.confirmed(abuse.words(x)) for x in seeds) and not any(abuse.confirmed(abuse.words(x)) for x in unseen + fine)
     docs = [(i, f"{fine[i % len(fine)]} {fine[(i * 7) % len(fine)]}") for i in range(300)]
-    docs += [(1000 + i, f"{fine[i % len(fine)]}\n{x} {fine[(i * 5) % len(fine)]}") for i, x in enumerate(bad)]
+    docs += [(1000 + i, f"{fine[i % len(fine)]}\n{x} {fine[(i * 5) % len(fine)]}") for i, x in enumerate(seeds + unseen)]
     held = [(2000, "You are a f1lthy cr00k and everyone in town knows it!"), (2001, None), (2002, ""), (2003, fine[0] * 300), (2004, "shut your m*uth you i d i o t from here")]
     df = spark.createDataFrame([(*d, "s", 0.0) for d in docs + held], "doc_id long, text string, source string, score double")
     out = {r["doc_id"]: r for r in abuse.scores(df).collect()}
     assert len(out) == len(docs) + len(held)
-    assert all(out[1000 + i]["abusive"] for i in range(len(bad))) and out[2000]["abusive"] and out[2004]["abusive"]
+    assert all(out[1000 + i]["abusive"] for i in range(len(seeds + unseen))) and out[2000]["abusive"] and out[2004]["abusive"]
     assert not any(out[i]["abusive"] for i in [*range(300), 2001, 2002, 2003]) and out[2001]["score"] == 0
     rates = abuse.source_rates(df.drop("score"), abuse.scores(df)).first()
-    assert rates["documents"] == len(out) and rates["abusive"] == len(bad) + 2
+    assert rates["documents"] == len(out) and rates["abusive"] == len(seeds + unseen) + 2
     assert abuse.scores(df.limit(0)).count() == 0
     assert abuse.scores(df.where("doc_id < 50")).where("abusive").count() == 0  # no examples at all
 
