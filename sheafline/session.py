@@ -10,18 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, as ``spark.checkpoint.dir`` names it.
 
-    Only where the setting is absent (tests on one machine) a temporary folder is made and used.
+    Only where the setting is absent and everything runs on this machine (tests) a temporary folder is made and used.
     """
-    set_by = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
-    if set_by is None:
-        current = context._jsc.sc().getCheckpointDir()
-        if current.isDefined():
-            return current.get()
-        set_by = tempfile.mkdtemp(prefix="sheafline-")
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        context.setCheckpointDir(set_by)
-    return set_by
+    current = context._jsc.sc().getCheckpointDir()
+    if current.isDefined():
+        return current.get()
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not context.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="sheafline-")
+    context.setCheckpointDir(folder)
+    return folder
 
 
 def cut(df: DataFrame, eager: bool = True) -> DataFrame:
@@ -35,9 +36,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame, least_bytes: int = 1 << 20) -> DataFrame:
-    """A scan of small files over all cores. Files below ``least_bytes`` a core are read by one task or a few, which is slow
-    for heavy work per row; larger inputs are split by the reader and stay as they are, so no large table is shuffled."""
+def spread(df: DataFrame) -> DataFrame:
+    """A scan for heavy work per row, over all cores: one that has fewer splits than the cluster has cores is repartitioned."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if size < cores * least_bytes else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
