@@ -31,7 +31,7 @@ _BROKEN = r"�+\s*$"
 _ONLY_MARK = r"\s*(?:\.\.\.|…|\[…\]|\[\.\.\.\])?\s*�*\s*"
 
 
-def with_longer(values: DataFrame, least: int = 15) -> DataFrame:
+def with_longer(values: DataFrame, least: int = 8) -> DataFrame:
     """``field_name, stem, longer``: the text that goes on after each stem that is a strict prefix of another value.
 
     Of several such values the first in sorted order that adds more than a cut mark counts. ``values``: ``field_name, stem`` (looked up) and ``value``. Stems shorter than ``least`` have no copies.
@@ -139,8 +139,12 @@ def evidence(values: DataFrame, others: DataFrame, sentence_fields: tuple[str, .
     rows = rows.withColumn("ends_well", (final >= 3) & (final >= 0.02 * inside))
 
     # copies
-    found = with_longer(rows.select("field_name", "stem", "value").unionByName(others.select("field_name", F.lit("").alias("stem"), F.regexp_replace("value", r"(?U)^\s+|\s+$", "").alias("value")).where("value is not null")))
-    rows = rows.join(found, ["field_name", "stem"], "left")
+    # (letter case and white space do not count)
+    fold = lambda c: F.regexp_replace(F.lower(F.regexp_replace(c, r"(?U)^\s+|\s+$", "")), r"(?U)\s+", " ")
+    rows = rows.withColumn("folded", fold("stem"))
+    asked = rows.select("field_name", F.col("folded").alias("stem"), fold("value").alias("value"))
+    found = with_longer(asked.unionByName(others.select("field_name", F.lit("").alias("stem"), fold("value").alias("value")).where("value is not null")))
+    rows = rows.join(found.withColumnRenamed("stem", "folded"), ["field_name", "folded"], "left").drop("folded")
     return rows.withColumn("copy", F.regexp_replace("longer", _MARK, "").rlike(r"^[\p{L}\p{N}]|^[ -][\p{L}\p{N}]|^, [\p{Ll}]"))
 
 
