@@ -4,8 +4,10 @@ A shared run of ``run`` words is a shared window of that size. Windows are the s
 and documents alike are cut into all their windows of ``run`` words, and each window is the set of its ``gram``-word
 shingles. Windows of one class that contain each other are equal, so their MinHash agrees with certainty and one hash
 function per class loses nothing, however long the document around the window is. Neighbouring windows mostly share
-their minimum, so a text keeps about ``2 / (run - gram + 2)`` values per word. Texts that share a value are candidates;
-a candidate is kept if the texts have an exact shingle of ``run`` words in common.
+their minimum, so a text keeps about ``2 / (run - gram + 2)`` values per word. The items' values are sent to the executors in
+blocks of at most ``block`` values, and documents are scanned once a block; of a document only the windows whose value an
+item has leave the scan, as their words. A pair is kept if such a window equals an item's word by word. So neither the
+texts of the corpus nor its fingerprints are shuffled, whatever its size, and the cost of many items is further scans.
 
 Words are maximal runs of letters and digits, lower-cased, after every hyphen directly before a line feed is deleted with
 that line feed. Null and empty texts and texts of fewer than ``run`` words match nothing; repeated ids give one row.
@@ -22,6 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sheafline.llm import passages as P
 from sheafline.session import spread
 
 _WORD = re.compile(r"[^\W_]+")
@@ -54,8 +57,8 @@ def shingle_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
     return _mix(out)
 
 
-def window_minima(hashes: np.ndarray, run: int, gram: int) -> np.ndarray:
-    """Distinct MinHash values of all windows of ``run`` words over their ``gram``-word shingles."""
+def window_minima(hashes: np.ndarray, run: int, gram: int, distinct: bool = True) -> np.ndarray:
+    """MinHash values of all windows of ``run`` words over their ``gram``-word shingles, distinct or in order."""
     if len(hashes) < run:
         return np.empty(0, np.int64)
     g = shingle_hashes(hashes, gram)
@@ -63,7 +66,7 @@ def window_minima(hashes: np.ndarray, run: int, gram: int) -> np.ndarray:
     low = g[: len(g) - size + 1].copy()
     for i in range(1, size):
         np.minimum(low, g[i : i + len(low)], out=low)
-    return np.unique(low).view(np.int64)
+    return (np.unique(low) if distinct else low).view(np.int64)
 
 
 class _Hasher:
@@ -86,50 +89,60 @@ class _Hasher:
         return out
 
 
-def minima(df: DataFrame, id_col: str, text_col: str, run: int, gram: int) -> DataFrame:
-    """``id, h``: each text's distinct window minima."""
+def item_values(texts: list[str | None], run: int, gram: int) -> np.ndarray:
+    """The sorted distinct values of all windows of the items."""
+    hasher = _Hasher()
+    found = [window_minima(hasher(words(t)), run, gram) for t in texts]
+    return np.unique(np.concatenate(found)) if found else np.empty(0, np.int64)
+
+
+def matching_windows(ws: list[str], hashes: np.ndarray, known: np.ndarray, run: int, gram: int) -> list[str]:
+    """The distinct windows of a text whose value is in the sorted array ``known``, as words joined by blanks."""
+    low = window_minima(hashes, run, gram, distinct=False)
+    if not len(low) or not len(known):
+        return []
+    at = np.minimum(np.searchsorted(known, low), len(known) - 1)
+    return list(dict.fromkeys(" ".join(ws[i : i + run]) for i in np.flatnonzero(known[at] == low)))
 
-    def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hasher = _Hasher()
-        for b in batches:
-            ids, values = [], []
-            for i, text in zip(b["id"].to_numpy(), b["text"]):
-                v = window_minima(hasher(words(text)), run, gram)
-                if len(v):
-                    ids.append(np.full(len(v), i))
-                    values.append(v)
-            yield pd.DataFrame({"id": np.concatenate(ids) if ids else np.empty(0, np.int64), "h": np.concatenate(values) if values else np.empty(0, np.int64)})
 
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null and text is not null")
-    return spread(rows).mapInPandas(apply, "id long, h long")
+def _windows(df: DataFrame, id_col: str, text_col: str, known, run: int, gram: int) -> DataFrame:
+    """``id, window`` of the windows of each text that :func:`matching_windows` gives; ``known`` gives its array on an executor."""
 
+    def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hasher, values = _Hasher(), known()
+        for b in batches:
+            out = []
+            for i, text in zip(b["id"], b["text"]):
+                ws = words(text)
+                if len(ws) >= run:
+                    out += [(i, w) for w in matching_windows(ws, hasher(ws), values, run, gram)]
+            yield pd.DataFrame(out, columns=["id", "window"])
 
-def shared_runs(a: str | None, b: str | None, run: int) -> int:
-    """Number of distinct runs of ``run`` words that both texts have, by exact comparison."""
-    x, y = words(a), words(b)
-    grams = lambda w: {tuple(w[i : i + run]) for i in range(len(w) - run + 1)}
-    return len(grams(x) & grams(y))
+    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null and text is not null")
+    return spread(rows).mapInPandas(apply, "id long, window string")
 
 
-def leaks(items: DataFrame, docs: DataFrame, item_id: str = "item_id", doc_id: str = "doc_id", text: str = "text", run: int = 12, gram: int = 5) -> DataFrame:
+def leaks(
+    items: DataFrame, docs: DataFrame, item_id: str = "item_id", doc_id: str = "doc_id", text: str = "text", run: int = 12, gram: int = 5, block: int = 1_000_000
+) -> DataFrame:
     """``item_id, doc_id, shared_runs, item_runs``: each pair that shares at least ``run`` consecutive words.
 
-    The join of minima is on the hash; Spark broadcasts the items' side only if its measured size allows. A hash that a
-    third of all documents have is counted once per document, and the pairs are made distinct before texts are fetched.
+    The items are read block by block: as many as have about ``block`` words, so that 8 MB of values are sent at once. A
+    window that a third of all documents have meets one row per item, so adaptive execution can split it.
     """
     if not 1 <= gram <= run:
         raise ValueError("gram must lie between 1 and run")
-    small = minima(items, item_id, text, run, gram).select(F.col("id").alias("item"), "h").distinct()
-    pairs = minima(docs, doc_id, text, run, gram).join(small, "h").select("item", F.col("id").alias("doc")).distinct()
-    item_texts = items.select(F.col(item_id).cast("long").alias("item"), F.col(text).alias("item_text"))
-    doc_texts = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("doc_text"))
-
-    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            n = [shared_runs(x, y, run) for x, y in zip(b["item_text"], b["doc_text"])]
-            of = [max(0, len(set(map(tuple, (w[i : i + run] for i in range(len(w) - run + 1))))) if (w := words(x)) else 0) for x in b["item_text"]]
-            yield pd.DataFrame({"item_id": b["item"], "doc_id": b["doc"], "shared_runs": n, "item_runs": of}).query("shared_runs > 0")
-
-    fetched = doc_texts.join(pairs, "doc").join(item_texts, "item").select("item", "doc", "item_text", "doc_text")
-    found = fetched.mapInPandas(verify, "item_id long, doc_id long, shared_runs long, item_runs long")
-    return found.groupBy("item_id", "doc_id").agg(F.max("shared_runs").alias("shared_runs"), F.max("item_runs").alias("item_runs"))
+    spark = docs.sparkSession
+    own = items.select(F.col(item_id).cast("long").alias("id"), F.col(text).cast("string").alias("text")).where("id is not null and text is not null")
+    letters = own.agg(F.sum(F.length("text"))).first()[0] or 0
+    blocks = max(1, -(-letters // (5 * block)))
+    result = None
+    for k in range(blocks):
+        part = own.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == k)
+        known = P.shipped(spark, item_values([r["text"] for r in part.select("text").toLocalIterator()], run, gram))
+        asked = _windows(part, "id", "text", known, run, gram).distinct().withColumnRenamed("id", "item_id")
+        runs = asked.groupBy("item_id").agg(F.count(F.lit(1)).alias("item_runs"))
+        found = _windows(docs, doc_id, text, known, run, gram).distinct().withColumnRenamed("id", "doc_id")
+        pairs = found.join(asked, "window").groupBy("item_id", "doc_id").agg(F.count(F.lit(1)).alias("shared_runs")).join(runs, "item_id")
+        result = pairs if result is None else result.unionByName(pairs)
+    return result.select("item_id", "doc_id", "shared_runs", "item_runs")

@@ -4,7 +4,7 @@ A text of n tokens belongs to class ``capacity // n``: its length lies in (capac
 class always fit. Every worker packs its own rows, the largest class of lengths first: a container gets k texts of class
 k (the longest first), and what space is left is topped up with the longest shorter texts that still fit. Texts of classes
 that are not full are put together by length at the end of the worker's rows; its last container that is not well filled
-is passed on, and those few texts of all workers are packed together. Workers keep lengths and ids only, at most
+is passed on, and those few texts are packed together by groups of ``fan_in`` workers. Workers keep lengths and ids only, at most
 ``chunk`` at a time.
 
 Only texts longer than the capacity are split: into full pieces, each a container of its own, and a rest that is packed
@@ -128,10 +128,14 @@ def _rows(bins: list, name: str, first: int) -> list[tuple]:
     return [(*item, n, f"{name}-{first + i}", place, False) for i, box in enumerate(bins) for place, (n, item) in enumerate(box)]
 
 
-def packed(docs: DataFrame, capacity: int = 4096, vocabulary: str = VOCABULARY, id_col: str = "doc_id", text_col: str = "text", chunk: int = 100_000) -> DataFrame:
-    """``doc_id, piece, start, n_tokens, bin_id, place``: one row per text or piece and the container it is in."""
+def packed(docs: DataFrame, capacity: int = 4096, vocabulary: str | None = None, id_col: str = "doc_id", text_col: str = "text", chunk: int = 100_000, fan_in: int = 256) -> DataFrame:
+    """``doc_id, piece, start, n_tokens, bin_id, place``: one row per text or piece and the container it is in.
+
+    ``vocabulary``: a file of ranks that every worker can read; else the setting ``spark.sheafline.vocabulary`` names it.
+    """
     if capacity < 1:
         raise ValueError("capacity must be positive")
+    vocabulary = vocabulary or docs.sparkSession.conf.get("spark.sheafline.vocabulary", VOCABULARY)
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = tokenizer(vocabulary)
@@ -145,7 +149,7 @@ def packed(docs: DataFrame, capacity: int = 4096, vocabulary: str = VOCABULARY,
             made += len(bins)
             waiting = [] if last else rest
             if last:
-                out += [(*item, n, None, None, True) for n, item in rest]
+                out += [(*item, n, f"a{part}", None, True) for n, item in rest]  # the worker's name, until a container is found
             return pd.DataFrame(out, columns=_COLUMNS)
 
         for b in batches:
@@ -169,19 +173,22 @@ def packed(docs: DataFrame, capacity: int = 4096, vocabulary: str = VOCABULARY,
             yield flush(True)
 
     def together(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        items, made = [], 0
+        items, made, name = [], 0, None
         for b in batches:
+            name = name or f"b{b['part'].iloc[0]}" if len(b) else name
             items += [(int(r[3]), (r[0], r[1], r[2])) for r in b.itertuples(index=False)]
             if len(items) >= chunk:
                 bins, items = pack(sorted(items, key=lambda x: x[1]), capacity)
-                yield pd.DataFrame(_rows(bins, "b", made), columns=_COLUMNS)
+                yield pd.DataFrame(_rows(bins, name, made), columns=_COLUMNS)
                 made += len(bins)
         bins, rest = pack(sorted(items, key=lambda x: x[1]), capacity)
-        yield pd.DataFrame(_rows([*bins, rest] if rest else bins, "b", made), columns=_COLUMNS)
+        yield pd.DataFrame(_rows([*bins, rest] if rest else bins, name, made), columns=_COLUMNS)
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).withColumn("part", F.spark_partition_id())
     first = cut(rows.mapInPandas(measure, _SCHEMA))  # measured once; both parts below read it
-    rest = first.where("left").coalesce(1).mapInPandas(together, _SCHEMA)
+    groups = max(1, rows.rdd.getNumPartitions() // fan_in)  # what a group of workers leaves over is a few containers
+    part = F.col("bin_id").alias("part")
+    rest = first.where("left").select("*", part).repartition(groups, "part").mapInPandas(together, _SCHEMA)
     return first.where("not left").unionByName(rest).drop("left")
 
 

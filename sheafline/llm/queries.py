@@ -26,13 +26,26 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-@query("p9_found")
+_RUNS = r"""
+    WITH d AS (SELECT doc_id, regexp_extract_all(lower(replace(replace(text, '-' || chr(10), ''), '‐' || chr(10), '')), '[\p{L}\p{N}]+') AS w FROM documents WHERE text IS NOT NULL),
+         i AS (SELECT item_id, suite, regexp_extract_all(lower(replace(replace(text, '-' || chr(10), ''), '‐' || chr(10), '')), '[\p{L}\p{N}]+') AS w FROM test_items WHERE text IS NOT NULL),
+         dr AS (SELECT DISTINCT doc_id, array_to_string(w[k:k + 11], ' ') AS run FROM d, unnest(range(1, greatest(len(w) - 10, 1))) AS t(k)),
+         ir AS (SELECT DISTINCT item_id, array_to_string(w[k:k + 11], ' ') AS run FROM i, unnest(range(1, greatest(len(w) - 10, 1))) AS t(k)),
+         f AS (SELECT item_id, doc_id, count(*) AS shared FROM ir JOIN dr USING (run) GROUP BY item_id, doc_id),
+         n AS (SELECT item_id, count(*) AS runs FROM ir GROUP BY item_id)
+"""
+
+
+@query("p9_found", _RUNS + "SELECT item_id, doc_id FROM f")
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     """Each evaluation item with each document that shares at least twelve consecutive words with it."""
     return leakage.leaks(table(spark, folder, "test_items"), table(spark, folder, "documents")).select("item_id", "doc_id")
 
 
-@query("p9_items")
+@query(
+    "p9_items",
+    _RUNS + "SELECT f.item_id, count(*) AS documents, max(shared / runs) AS largest_share, any_value(suite) AS suite FROM f JOIN n ON f.item_id = n.item_id JOIN i ON f.item_id = i.item_id GROUP BY f.item_id",
+)
 def p9_items(spark: SparkSession, folder: str) -> DataFrame:
     """Per leaked item: documents that contain some of it, and the largest part found in one document."""
     items = table(spark, folder, "test_items")
@@ -53,13 +66,14 @@ def p9_items(spark: SparkSession, folder: str) -> DataFrame:
 )
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     """Arrivals whose key occurred before."""
-    return seen_keys.seen_before(table(spark, folder, "seen_articles"), table(spark, folder, "arrivals"))
+    return seen_keys.seen_before(seen_keys.stored(table(spark, folder, "seen_articles")), table(spark, folder, "arrivals"))
 
 
 @query("p5_rates")
 def p5_rates(spark: SparkSession, folder: str) -> DataFrame:
-    """Rate of wrong answers of the coded set alone, audited and in theory."""
-    return seen_keys.wrong_answers(table(spark, folder, "seen_articles"), table(spark, folder, "arrivals"))
+    """Rate of wrong answers of the set that p5_found uses, audited and in theory."""
+    history = table(spark, folder, "seen_articles")
+    return seen_keys.wrong_answers(seen_keys.stored(history), history, table(spark, folder, "arrivals"))
 
 
 def _residue(spark: SparkSession, folder: str, names: tuple[str, ...] = ("text", "abstract")) -> DataFrame:
