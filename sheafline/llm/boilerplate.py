@@ -76,7 +76,8 @@ def features(rows: DataFrame) -> DataFrame:
     entry = line.rlike(r"^(?:[-–—*•◦▪]|\(?[a-z]\))\s+\S")
     caption = masked.rlike(r"^(?:box|table|figure|fig\.|kasten|tabelle|abbildung|encadré|tableau|recuadro|tabla|cuadro|figura) ?9\b")
     df = df.withColumn("form", F.explode(F.array(heading | entry | caption)))
-    said = F.col("form") | (F.substring(line, -90, 90).rlike(_END) & (F.size("words") >= 4))
+    several = r"[\p{L})][.!?][\"'”’»)\]]{0,3} \p{Lu}.*[\p{L})][.!?][\"'”’»)\]]{0,3} \p{Lu}"  # sentences, the last one without its end
+    said = F.col("form") | ((F.size("words") >= 4) & (F.substring(line, -90, 90).rlike(_END) | ((F.length(line) >= 150) & line.rlike(several))))
     hits = F.size(F.array_intersect("words", F.array(*[F.lit(w) for w in sorted(VISITOR)])))
     punct = F.length(line) - F.length(F.translate(line, ".!?;:,", ""))
     return df.select(

@@ -137,8 +137,9 @@ def p8_space(spark: SparkSession, folder: str) -> DataFrame:
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     """Rows of later batches that announce an article already known, with the row that announced it first."""
     feed = table(spark, folder, "feed_items").select("seq", "batch_no", "url", "title", "source")
-    later = feed.where("batch_no >= 1").select(F.col("seq").alias("dup_seq"))
-    return batches.duplicates(feed).join(later, "dup_seq", "left_semi").select("first_seq", "dup_seq")
+    history, later = feed.where("batch_no is null or batch_no < 1"), feed.where("batch_no >= 1")
+    found = batches.duplicates([history, later])
+    return found.join(later.select(F.col("seq").cast("long").alias("dup_seq")), "dup_seq", "left_semi").select("first_seq", "dup_seq")
 
 
 @query("p1_found")

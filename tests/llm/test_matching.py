@@ -65,11 +65,27 @@ def test_duplicates_against_planted(spark):
         first.setdefault(article, seq)
         if first[article] < seq:
             want.add((first[article], seq))
-    got = {(r["first_seq"], r["dup_seq"]) for r in batches.duplicates(df).collect()}
-    assert got == want
-    assert batches.duplicates(df.limit(0)).count() == 0
-    again = batches.duplicates(df.unionByName(df.where("seq <= 3")))
-    assert {(r["first_seq"], r["dup_seq"]) for r in again.collect()} == want
+    got = lambda *parts: {(r["first_seq"], r["dup_seq"]) for r in batches.duplicates(list(parts)).collect()}
+    assert got(df) == want
+    assert got(df.limit(0)) == set()
+    assert got(df.unionByName(df.where("seq <= 3"))) == want
+
+
+def test_appended_batches_equal_one_run(spark, tmp_path):
+    """Stored rows are neither written again nor changed by later batches, and the articles are those of one run."""
+    df = spark.createDataFrame([(*r[:5], "p") for r in _feed()], "seq long, batch_no int, url string, source string, title string, page string")
+    pairs = lambda found: {(r["first_seq"], r["dup_seq"]) for r in found.collect()}
+    files = lambda: {p: p.stat().st_mtime_ns for k in ("pages", "forms", "links") for p in (tmp_path / "s" / k).rglob("*.parquet")}
+    store, before = batches.ArticleStore(spark, str(tmp_path / "s")), {}
+    for k in range(3):
+        if k == 2:
+            store = batches.ArticleStore.open(spark, str(tmp_path / "s"))
+        store.append(df.where(F.col("batch_no") == k), f"b{k}")
+        assert before.items() <= files().items()
+        before = files()
+    assert pairs(store.duplicates()) == pairs(batches.duplicates([df]))
+    store.append(df.where("batch_no = 2"), "b2")  # again
+    assert pairs(store.duplicates()) == pairs(batches.duplicates([df]))
 
 
 def test_near_forms_against_brute_force(spark):
@@ -83,9 +99,11 @@ def test_near_forms_against_brute_force(spark):
                 t[at] = rng.choice("abcdefgh") if t[at] != " " else " "
             forms.add("".join(t))
     frequent = ["outcome", "care", "group", "trial"]
-    table = batches.pivot_table(spark.createDataFrame([(f,) for f in forms], "head string"), frequent)
+    table = batches.pivot_table(spark.createDataFrame(list(enumerate(sorted(forms))), "seq long, head string"), frequent)
+    table = table.dropDuplicates(["form"]).withColumns({"d0": F.levenshtein("text", F.lit("caregroup")), "d1": F.levenshtein("text", F.lit(""))}).checkpoint()
     rows = {r["form"]: r for r in table.collect()}
-    got = {(r["a"], r["b"]) for r in batches.near_forms(table).collect()}
+    named = {r["seq"]: f for f, r in rows.items()}
+    got = {tuple(sorted((named[r["a"]], named[r["b"]]))) for r in batches.near_forms(table, table).collect()}
     lev = lambda a, b: _levenshtein(a.replace(" ", ""), b.replace(" ", ""))
     want = set()
     for a in rows:

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from sheafline.llm import batches, boilerplate, cutoff, entities
+from sheafline.llm import batches, boilerplate, cutoff, entities, residue
 
 
 def test_furniture_by_repetition_and_path(spark):
@@ -18,11 +18,9 @@ def test_furniture_by_repetition_and_path(spark):
     assert got == {(i, 4) for i in range(60)} | {(100, 2)}
 
 
-def test_cues_in_lines_of_any_length(spark):
+def test_cues_in_lines_of_any_length():
     consent = ("we and our partners use cookies, tracking pixels and the like to remember your settings and to count visits. " * 5 + "by continuing you agree.").strip()
-    assert len(consent) > 400 and boilerplate.has_cue(consent) and not boilerplate.has_cue("z" * 1000)
-    df = spark.createDataFrame([(consent,), ("z" * 1000,)], "v string")
-    assert [r[0] for r in df.select(boilerplate.cue_column(F.col("v"))).collect()] == [True, False]
+    assert len(consent) > 400 and residue.has_cue(consent) and not residue.has_cue("z" * 1000)
 
 
 def test_fragments_that_recur(spark):
@@ -58,10 +56,10 @@ def test_copies_behind_marked_ones(spark):
 def test_near_forms_in_crowded_blocks(spark):
     words = [a + b + c for a in ("bado", "kiru", "melu", "sofi", "tane", "vuga") for b in ("rimo", "pesa", "luki", "doge", "hany") for c in ("tex", "lin", "mab", "zol")]
     forms = [f"outcome care {w} sharedname" for w in words] + ["outcme care group bravename sharedname", "outcome car group bravename sharedname"]
-    table = batches.pivot_table(spark.createDataFrame([(f,) for f in forms], "head string"), [])
-    pairs = lambda crowd: {tuple(r) for r in batches.near_forms(table, crowd=crowd).collect()}
-    assert tuple(sorted(forms[-2:])) in pairs(10)
-    assert pairs(10) == pairs(100_000)
+    table = batches.pivot_table(spark.createDataFrame(list(enumerate(forms)), "seq long, head string"), [])
+    pairs = lambda pivots: {tuple(r) for df in [table.withColumns({f"d{i}": F.levenshtein("text", F.lit(p)) for i, p in enumerate(pivots)})] for r in batches.near_forms(df, df).collect()}
+    assert (len(forms) - 2, len(forms) - 1) in pairs(["", "effect"])
+    assert pairs(["", "effect"]) == pairs(["outcomecare", "aeiou" * 9])  # pivots prune, they do not decide
 
 
 def test_frequent_words_of_large_tables(spark):
@@ -75,8 +73,5 @@ def test_frequent_words_of_large_tables(spark):
 
 
 def test_long_chains_have_one_label(spark):
-    n = 90
-    edges = spark.createDataFrame([(i, i + 1) for i in range(n)], "a long, b long")
-    assert {r["near"] for r in batches.components(edges).collect()} == {0}
-    rows = spark.createDataFrame([(i, (i + 1) // 2, i // 2) for i in range(n)], "seq long, page long, form long")
-    assert {r["first"] for r in batches.first_of(rows).collect()} == {0}
+    edges = spark.createDataFrame([(i, i + 1) for i in range(90)], "a long, b long")
+    assert {r["first"] for r in batches.components(edges).collect()} == {0}
