@@ -10,7 +10,7 @@ Values whose source has no known zone use the zone estimated from the source's o
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Month names and short forms in English, German, French and Spanish, accents removed.
@@ -182,31 +182,51 @@ def with_iso(df: DataFrame, tz: str) -> DataFrame:
     return df.withColumn("iso_value", form.otherwise(F.concat(F.replace(text(19), F.lit(" "), F.lit("T")), F.lit("Z")))).drop("_o", "_u")
 
 
-def estimate_zones(observed: DataFrame, candidates: tuple[str, ...] = CANDIDATE_ZONES, slack_minutes: int = 5) -> DataFrame:
+def estimate_zones(
+    observed: DataFrame, candidates: tuple[str, ...] = CANDIDATE_ZONES, slack_minutes: int = 5, cap_minutes: int = 360, change_cost: float = 3.0
+) -> DataFrame:
     """The offset history of each source that its own rows contradict least.
 
-    ``observed``: ``source``, ``p`` (from :func:`with_parts`) and ``ingested`` (timestamp, may be null). A row speaks against a
-    candidate zone if its wall time without zone would lie after its ingestion or never existed there, or if its written
-    offset differs from the zone's offset at that instant. Rows are counted per source and candidate before the shuffle.
-    Result: ``source, tz_estimated, violations, evidence``; ties go to the earlier candidate; sources without evidence
-    have no row.
+    ``observed``: ``source``, ``p`` (from :func:`with_parts`) and ``ingested`` (timestamp, may be null). What a row says against
+    a candidate zone is a number from 0 to 1: for a wall time without zone 1 if it never existed there or would lie after
+    its ingestion, else how far its delay until ingestion is from the usual one, ``cap_minutes`` or more counting 1; for a
+    written offset 1 if the zone has another one at that instant. So zones too far west fail by rows from the future and those too
+    far east by long delays. The usual delay is the median of the rows that state their zone, 0 if none does.
+
+    A source may have moved once: its history is cut at the start of the month where that lowers the sum by more than
+    ``change_cost``. Rows are added up per source, month and candidate before the shuffle. Result: ``source, since,
+    tz_estimated, violations, evidence``, one row per source, or two of which the later has ``since``; ties go to the earlier candidate;
+    sources without evidence have no row.
     """
     p = F.col("p")
-    rows = observed.where((p["kind"] == "T") & F.col("source").isNotNull()).where(
-        (p["zone"].isNull() & F.col("ingested").isNotNull()) | (p["zone"].rlike(r"^[+-]"))
-    )
+    rows = observed.where((p["kind"] == "T") & F.col("source").isNotNull()).select("source", "p", F.col("ingested").cast("timestamp_ntz").alias("ingested"))
+    rows = rows.where((p["zone"].isNull() & F.col("ingested").isNotNull()) | p["zone"].rlike(r"^[+-]"))
+    minutes = lambda x: F.timestamp_diff("MINUTE", x, F.col("ingested"))
+    stated = rows.where(p["zone"].isNotNull() & F.col("ingested").isNotNull())
+    usual = stated.agg(F.coalesce(F.percentile_approx(minutes(p["stamp"] - _minutes(offset(p, F.lit(None).cast("string")))), 0.5), F.lit(0)).alias("usual"))
     tried = F.posexplode(F.array(*[F.lit(z) for z in candidates])).alias("rank", "tz")
-    rows = rows.select("source", "p", F.col("ingested").cast("timestamp_ntz").alias("ingested"), tried)
+    month = F.date_trunc("MONTH", F.coalesce("ingested", p["stamp"])).cast("timestamp_ntz").alias("month")
+    rows = rows.crossJoin(F.broadcast(usual)).select("source", "p", "ingested", "usual", month, tried)  # one row
     rows = _once(rows, "_utc", F.convert_timezone(F.col("tz"), F.lit("UTC"), p["stamp"]))
-    as_utc = F.col("_utc")
-    back = F.convert_timezone(F.lit("UTC"), F.col("tz"), as_utc)
+    back = F.convert_timezone(F.lit("UTC"), F.col("tz"), F.col("_utc"))
+    lag = minutes(F.col("_utc"))
     written = p["stamp"] - _minutes(offset(p, F.col("tz")))
-    against = F.when(p["zone"].isNull(), (back != p["stamp"]) | (as_utc > F.col("ingested") + F.expr(f"INTERVAL '{slack_minutes}' MINUTE"))).otherwise(
-        F.convert_timezone(F.lit("UTC"), F.col("tz"), written) != p["stamp"]
-    )
-    counts = rows.groupBy("source", "tz", "rank").agg(F.sum(against.cast("long")).alias("violations"), F.count(F.lit(1)).alias("evidence"))
-    best = F.min(F.struct("violations", "rank", "tz", "evidence")).alias("best")
-    return counts.groupBy("source").agg(best).select("source", F.col("best.tz").alias("tz_estimated"), F.col("best.violations").alias("violations"), F.col("best.evidence").alias("evidence"))
+    without = F.when((back != p["stamp"]) | (lag < -slack_minutes), 1.0).otherwise(F.least(F.abs(lag - F.col("usual")) / F.lit(float(cap_minutes)), F.lit(1.0)))
+    against = F.when(p["zone"].isNull(), without).otherwise((F.convert_timezone(F.lit("UTC"), F.col("tz"), written) != p["stamp"]).cast("double"))
+    counts = rows.groupBy("source", "month", "tz", "rank").agg(F.sum(against).alias("bad"), F.count(F.lit(1)).alias("n"))
+    # sums before each month and from it on; the first month's cut is no cut
+    by = Window.partitionBy("source", "tz").orderBy("month")
+    every = counts.select("source", "month").distinct().join(counts.select("source", "tz", "rank").distinct(), "source").join(counts, ["source", "month", "tz", "rank"], "left").fillna(0, ["bad", "n"])
+    before = by.rowsBetween(Window.unboundedPreceding, -1)
+    sums = every.select("source", "month", "tz", "rank", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_1") for c in ("bad", "n")], *[F.sum(c).over(by.rowsBetween(0, Window.unboundedFollowing)).alias(f"{c}_2") for c in ("bad", "n")])
+    part = lambda k: F.min(F.struct(F.round(f"bad_{k}", 6).alias("bad"), "rank", "tz", F.col(f"n_{k}").alias("n"))).alias(f"part{k}")
+    cuts = sums.groupBy("source", "month").agg(part(1), part(2), F.max(F.col("n_1")).alias("n_before"))
+    total = F.col("part1.bad") + F.col("part2.bad") + F.when(F.col("n_before") > 0, change_cost).otherwise(0.0)
+    best = cuts.groupBy("source").agg(F.min(F.struct(total.alias("total"), "month", "part1", "part2", "n_before")).alias("b"))
+    piece = lambda k, since: F.struct(since.alias("since"), F.col(f"b.part{k}.tz").alias("tz_estimated"), F.col(f"b.part{k}.bad").alias("violations"), F.col(f"b.part{k}.n").alias("evidence"))
+    never = F.lit(None).cast("timestamp_ntz")
+    pieces = F.when(F.col("b.n_before") > 0, F.array(piece(1, never), piece(2, F.col("b.month")))).otherwise(F.array(piece(2, never)))
+    return best.select("source", F.explode(pieces).alias("x")).select("source", "x.*")
 
 
 def normalise_times(
@@ -224,7 +244,10 @@ def normalise_times(
     joined = rows.where(F.col("value").isNotNull()).join(known, "source", "left")
     joined = with_parts(joined.withColumn("tz", F.col("tz_name")), "value", "date_order").where(F.col("p").isNotNull())
     if estimate:
-        guessed = estimate_zones(joined.where(F.col("tz").isNull())).select("source", "tz_estimated")
-        joined = joined.join(guessed, "source", "left").withColumn("tz", F.coalesce("tz", "tz_estimated"))
+        guessed = estimate_zones(joined.where(F.col("tz").isNull()))
+        early = guessed.where("since is null").select("source", "tz_estimated")
+        late = guessed.where("since is not null").select("source", "since", F.col("tz_estimated").alias("tz_later"))
+        moved = F.coalesce(F.col("ingested").cast("timestamp_ntz"), F.col("p.stamp")) >= F.col("since")
+        joined = joined.join(early.join(late, "source", "left"), "source", "left").withColumn("tz", F.coalesce("tz", F.when(moved, F.col("tz_later")), "tz_estimated"))
     done = with_iso(joined, "tz").where(F.col("iso_value").isNotNull())
     return done.select(*[F.col(f"_id{i}").alias(c) for i, c in enumerate(id_cols)], "iso_value")

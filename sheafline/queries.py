@@ -40,10 +40,17 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return timestamps.normalise_times(rows, clock, ["table_name", "row_id"], "value", ingested_col="ingested")
 
 
-@query("p3_zones")
+@query("p3_zones", "SELECT source, tz_name, true AS agrees FROM source_clock")
 def p3_zones(spark: SparkSession, folder: str) -> DataFrame:
-    """Per source: the zone its own rows point to, beside the declared one."""
+    """Per source: whether the zone that its own rows point to keeps the same time as the declared one, which takes no part.
+
+    Zones agree if their clocks do in January and in July. Where rows reach the feed months after publication, their
+    delays say nothing, and rows with written offsets decide.
+    """
     clock = table(spark, folder, "source_clock")
-    feed = table(spark, folder, "feed_items").select("source", "published", F.col("fetched_at").alias("ingested")).join(clock, "source", "left")
+    feed = table(spark, folder, "feed_items").select("source", "published", F.col("fetched_at").alias("ingested")).join(clock.select("source", "date_order"), "source")
     found = timestamps.estimate_zones(timestamps.with_parts(feed, "published", "date_order"))
-    return found.join(clock.select("source", "tz_name"), "source", "left")
+    at = lambda zone, day: F.convert_timezone(F.col(zone), F.lit("UTC"), F.lit(f"2024-{day} 12:00:00").cast("timestamp_ntz"))
+    same = (at("tz_estimated", "01-15") == at("tz_name", "01-15")) & (at("tz_estimated", "07-15") == at("tz_name", "07-15"))
+    compared = clock.select("source", "tz_name").join(found, "source", "left").groupBy("source", "tz_name")
+    return compared.agg(F.coalesce(F.min(same), F.lit(False)).alias("agrees"))
