@@ -1,9 +1,10 @@
 """Matching records of two tables that share no identifier: a cascade of exact joins on ever weaker attributes.
 
 Each rule turns a record into keys that hold all it demands (identifier and title; identifier and a surname; title and a
-surname; a rare title word and a surname; ...). Records with equal keys are linked to the smallest of them, so a key that
-many records have costs one link each. A pass links only key groups with a record that no earlier pass resolved; resolved
-records stay targets, since a paper may have been summarised twice. Links are closed transitively.
+surname; a rare title word and a surname; ...). Before each pass the records that earlier passes resolved are anti-joined away;
+the others are linked to the smallest resolved record with the same key, which stays a target since a paper may have been
+summarised twice, else to the smallest of themselves, so a key that many records have costs one link each. Links are closed
+transitively.
 
 Confidence is a rule's precision among pairs that can be labelled by an attribute the rule does not use (the identifier for
 title rules, title words for identifier rules), smoothed towards ``prior``; a pair gets the lower of its two records' best.
@@ -121,27 +122,29 @@ def _keys(r: DataFrame) -> dict[str, DataFrame]:
 
 def cascade(pdf: DataFrame, html: DataFrame, id_col: str = "paper_id") -> tuple[DataFrame, DataFrame]:
     """Records (``id, side, doi, bag, ...``) and links ``a, b, rule`` (a < b, smallest of the key group first)."""
-    records = cut(_titled(prepared(pdf, "pdf", id_col).unionByName(prepared(html, "html", id_col))))
+    records = cut(_titled(cut(prepared(pdf, "pdf", id_col).unionByName(prepared(html, "html", id_col)))))
     # titles under several identifiers, each stated by at least two records or by most of a short list
     stated = records.where("bag is not null and doi is not null").groupBy("bag", "doi").agg(F.count(F.lit(1)).alias("n"))
     shared = stated.groupBy("bag").agg(F.sum((F.col("n") >= 2).cast("int")).alias("firm"), F.count(F.lit(1)).alias("all"))
     shared = shared.where("firm >= 2 or all >= 4").select("bag", F.lit(True).alias("shared"))
     short = F.size(F.split("bag", " ")) < 4
     records = records.join(shared, "bag", "left").withColumn("shared", F.when(F.coalesce("shared", short), True))
-    links, resolved = None, None
+    links = None
     for number, (rule, keys) in enumerate(_keys(records).items()):
-        if resolved is not None:
-            keys = keys.join(resolved.withColumn("done", F.lit(True)), "id", "left")
+        if links is None:
+            asking = keys.withColumn("open", F.lit(True))
         else:
-            keys = keys.withColumn("done", F.lit(None).cast("boolean"))
-        groups = keys.groupBy("key").agg(
-            F.min("id").alias("a"), F.count(F.lit(1)).alias("n"), F.max("needed").alias("needed"), F.max(F.col("done").isNull()).alias("open"), F.countDistinct("side").alias("sides"),
-        ).where("n > 1 and needed and open")
-        found = keys.join(groups, "key").select("a", F.col("id").alias("b"), "sides")
-        found = cut(found.select("a", "b", "sides", F.lit(rule).alias("rule"), F.lit(number).alias("number")).distinct())
+            done = links.where("sides = 2").select(F.explode(F.array("a", "b")).alias("id")).distinct()
+            asking = keys.join(done, "id", "left_anti").withColumn("open", F.lit(True))
+            targets = keys.join(done, "id", "left_semi").withColumn("open", F.lit(False))
+            asking = asking.unionByName(targets)
+        # open records of a key are linked to its smallest resolved record, else to the smallest of themselves
+        groups = asking.groupBy("key").agg(
+            F.coalesce(F.min(F.when(~F.col("open"), F.col("id"))), F.min("id")).alias("target"), F.count(F.lit(1)).alias("n"), F.max("needed").alias("needed"), F.countDistinct("side").alias("sides"),
+        ).where("n > 1 and needed")
+        found = asking.where("open").join(groups, "key").select(F.least("target", "id").alias("a"), F.greatest("target", "id").alias("b"), "sides")
+        found = cut(found.where("a < b").select("a", "b", "sides", F.lit(rule).alias("rule"), F.lit(number).alias("number")).distinct())
         links = found if links is None else links.unionByName(found)
-        done = found.where("sides = 2").select(F.explode(F.array("a", "b")).alias("id"))
-        resolved = cut((done if resolved is None else resolved.unionByName(done)).distinct())
     return records, links.where("a < b").groupBy("a", "b").agg(F.min(F.struct("number", "rule")).alias("r")).select("a", "b", F.col("r.rule").alias("rule"))
 
 
