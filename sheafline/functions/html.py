@@ -249,6 +249,30 @@ def links(pages: DataFrame, page_col: str = "page_url", html_col: str = "html",
     return rows.mapInPandas(apply, "page_url string, href string, title string, pos int, by_selector boolean")
 
 
+def pdf_button(root: Node, selector: str | None = None) -> str | None:
+    """Address of a page's PDF: the first link of its own selector, else of the usual ones in their order, else any with ``.pdf``."""
+    for s in ([selector] if selector else []) + list(PDF_LINKS):
+        try:
+            found = next((n.attrs["href"] for n in select(root, s) if n.attrs.get("href")), None)
+        except ValueError:
+            found = None
+        if found:
+            return found
+    return next((n.attrs["href"] for n in root.walk() if n.tag == "a" and ".pdf" in n.attrs.get("href", "").lower()), None)
+
+
+def pdf_buttons(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", selector_col: str | None = None) -> DataFrame:
+    """``id, pdf`` of each page; null where no link is found or the page is null."""
+
+    def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"id": b["id"], "pdf": [pdf_button(parse(h), s or None) if h else None for h, s in zip(b["html"], b["selector"])]})
+
+    chosen = F.col(selector_col) if selector_col else F.lit(None).cast("string")
+    rows = spread(pages.select(F.col(id_col).cast("long").alias("id"), F.col(html_col).cast("string").alias("html"), chosen.alias("selector")))
+    return rows.mapInPandas(apply, "id long, pdf string")
+
+
 def attribute(html: Column, tag: str, key: str, value: str, wanted: str = "content") -> Column:
     """Attribute of the first tag with ``key="value"``, in either order of the two; entities stay encoded, empty is null."""
     want = rf"\b{wanted}\s*=\s*([\"'])(.*?)\1"
@@ -270,6 +294,7 @@ def pdf_link(html: Column) -> Column:
 
 def feed_links(html: Column) -> Column:
     """Feeds that a page announces, by kind of link and then position."""
+    # How feeds are announced and linked, in order of preference.
     patterns = (
         r"(?i)<link[^>]*type=[\"']application/rss\+xml[\"'][^>]*href=[\"']([^\"']+)[\"']",
         r"(?i)<link[^>]*href=[\"']([^\"']+)[\"'][^>]*type=[\"']application/rss\+xml[\"']",

@@ -77,6 +77,11 @@ def joined(base: pd.Series, href: pd.Series) -> pd.Series:
     return pd.Series([one(b, h) for b, h in zip(base, href)], dtype=object)
 
 
+def is_science_link(url: Column) -> Column:
+    """Whether an address is that of a journal article or an identifier's resolver."""
+    return F.coalesce(url.contains("/science/article/") | url.contains("doi.org"), F.lit(False))
+
+
 def known_feed(host: Column, known: dict[str, str]) -> Column:
     """Feed of a host or of the domain it belongs to, from a small table; the longest domain wins."""
     out = F.lit(None).cast("string")

@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from sheafline.functions import text
 
 
+def elapsed(start: Column, end: Column) -> Column:
+    """Seconds between two times, rounded to hundredths."""
+    return F.round((F.unix_micros(end) - F.unix_micros(start)) / 1_000_000, 2)
+
+
 def audit(sources: DataFrame, items: DataFrame, samples: int = 3, errors: DataFrame | None = None) -> DataFrame:
     """``name, type, method, url, article_count, status, sample_articles`` of every source, also of those without items.
 

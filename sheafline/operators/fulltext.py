@@ -17,7 +17,8 @@ def open_access(lookup: DataFrame, doi: str = "doi", body: str = "json", any_loc
     pdf = text.filled(place["url_for_pdf"], place["url"]) if any_location else text.filled(place["url_for_pdf"])
     info = F.struct(pdf.alias("pdf_url"), d["title"].alias("title"), place["license"].alias("license"), place["host_type"].alias("host"), d["published_date"].alias("published_date"))
     rows = lookup.select(F.lower(doi).alias("doi"), F.when(F.coalesce(d["is_oa"], F.lit(False)) & pdf.isNotNull(), info).alias("oa"))
-    return rows.where("doi is not null and oa is not null").groupBy("doi").agg(F.min("oa").alias("oa"))
+    latest = F.struct(F.coalesce(F.col("oa.published_date"), F.lit("")), F.col("oa.pdf_url"))  # of several records the latest, by its date
+    return rows.where("doi is not null and oa is not null").groupBy("doi").agg(F.max_by("oa", latest).alias("oa"))
 
 
 def registered(lookup: DataFrame, doi: str = "doi", body: str = "json") -> DataFrame:

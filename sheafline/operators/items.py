@@ -40,8 +40,7 @@ def page_links(links: DataFrame, keep_unfiltered: bool = True) -> DataFrame:
     ``links``: ``page_url, source, href, title, pos, by_selector``.
     """
     full = links.withColumn("url", url.absolute(F.col("href"), F.col("page_url"))).where("url is not null")
-    w = Window.partitionBy("page_url", "url").orderBy("pos")
-    once = full.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+    once = first_by(full, F.struct("page_url", "url"), "pos")
     good = url.is_article(F.col("url"), url.netloc(F.col("page_url")))
     kept = once.where(F.col("by_selector") | good) if keep_unfiltered else once.where(good)
     return kept.select("url", "source", text.clean_title(F.col("title")).alias("title"), "page_url", "pos")

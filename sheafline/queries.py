@@ -40,7 +40,7 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return timestamps.normalise_times(rows, clock, ["table_name", "row_id"], "value", ingested_col="ingested")
 
 
-@query("p3_zones", "SELECT source, tz_name, true AS agrees FROM source_clock")
+@query("p3_zones")
 def p3_zones(spark: SparkSession, folder: str) -> DataFrame:
     """Per source: whether the zone that its own rows point to keeps the same time as the declared one, which takes no part.
 

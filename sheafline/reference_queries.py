@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,8 +11,9 @@ from sheafline.functions import html, text, url
 from sheafline.operators import audit, enrich, failures, fulltext, items, summaries
 from sheafline.queries import query
 from sheafline.schemas import SUMMARY_KEYS
-from sheafline.session import table
+from sheafline.session import shared_folder, table
 from sheafline.sinks import day_path, object_address
+from sheafline.sources import readers
 
 _WS = r"[\s\x{85}\x{a0}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{1680}]"
 _STRIP = rf"'^{_WS}+|{_WS}+$', '', 'g'"
@@ -395,3 +398,138 @@ def extractive_summaries(spark: SparkSession, folder: str) -> DataFrame:
     p = table(spark, folder, "page_extracts").where("text is not null").select("page_id", "text")
     out = enrich.enriched(enrich.enriched(p, "text", enrich.Extractive(), "summary"), "text", enrich.HashedEmbedding(), "vector")
     return out.select("page_id", "summary", F.size("vector").alias("dimensions"), "summary_error")
+
+
+def _shared(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4()}"
+
+
+_CUT = f"CASE WHEN length({_strip('t')}) > 200 THEN {_strip('t')}[1:200] || '...' ELSE {_strip('t')} END"
+
+
+@query(
+    "list_page_items",
+    f"""WITH l AS (SELECT *, coalesce(title, '') AS t, row_number() OVER (PARTITION BY page_url ORDER BY pos, link_id) AS i, length(page_url) % 2 = 0 AS chosen, link_id % 2 = 1 AS card
+        FROM list_links WHERE coalesce(url, '') <> '' AND page_url IS NOT NULL),
+      c AS (SELECT *, max(card::INT) OVER (PARTITION BY page_url) AS any_card FROM l),
+      o AS (SELECT *, row_number() OVER (PARTITION BY page_url, url ORDER BY i) AS n FROM c WHERE (NOT chosen OR any_card = 0 OR card) AND url LIKE 'http%')
+      SELECT page_url, url, {_CUT} AS title FROM o WHERE n = 1 AND (chosen OR {_ARTICLE})""",
+)
+def list_page_items(spark: SparkSession, folder: str) -> DataFrame:
+    """Items of list pages, read from HTML with and without a selector: every second page has one, for every second of its links."""
+    l = table(spark, folder, "list_links").where("coalesce(url, '') <> '' and page_url is not null")
+    card = F.when(F.col("link_id") % 2 == 1, F.lit(' class="x c-card__link"')).otherwise("")
+    anchor = F.concat(F.lit("<li><a"), card, F.lit(' href="'), _escaped(F.col("url")), F.lit('">'), _escaped(F.col("title")), F.lit("</a>"))
+    rows = F.array_sort(F.collect_list(F.struct("pos", "link_id", anchor.alias("a"))))
+    pages = l.groupBy("page_url").agg(F.concat(F.lit("<ul>"), F.array_join(F.transform(rows, lambda r: r["a"]), ""), F.lit("</ul>")).alias("html"))
+    pages = pages.withColumn("selector", F.when(F.length("page_url") % 2 == 0, "a.c-card__link"))
+    found = html.links(pages, selector_col="selector").withColumn("source", F.lit(None).cast("string"))
+    return items.page_links(found).select("page_url", "url", "title")
+
+
+@query(
+    "pdf_buttons",
+    """SELECT page_id, CASE page_id % 6 WHEN 0 THEN '/own/' || page_id WHEN 1 THEN '/get?f=' || page_id WHEN 2 THEN '/f/' || page_id || '.pdf' WHEN 3 THEN '/v/' || page_id || '.PDF?x=1' WHEN 4 THEN '/b/' || page_id END AS pdf FROM page_extracts""",
+)
+def pdf_buttons(spark: SparkSession, folder: str) -> DataFrame:
+    """The PDF link of pages: by the source's selector, by text, ending, class, or any address with the ending in it."""
+    n = F.col("page_id")
+    a = lambda more, before, after, label: F.concat(F.lit(f'<p><a href="/about">About</a><a{more} href="{before}'), n.cast("string"), F.lit(f'{after}">{label}</a>'))
+    page = (
+        F.when(n % 6 == 0, F.concat(a("", "/f/", ".pdf", "PDF"), a(' data-track-action="download"', "/own/", "", "Get"))).when(n % 6 == 1, F.concat(a("", "/x/", "", "Text"), a("", "/get?f=", "", "<b>download</b> pdf")))
+        .when(n % 6 == 2, a("", "/f/", ".pdf", "Here")).when(n % 6 == 3, a("", "/v/", ".PDF?x=1", "View")).when(n % 6 == 4, a(' class="a pdf-download"', "/b/", "", "View")).otherwise(a("", "/c/", "", "View"))
+    )
+    pages = table(spark, folder, "page_extracts").select("page_id", page.alias("html"), F.when(n % 6 == 0, "a[data-track-action='download']").alias("selector"))
+    return html.pdf_buttons(pages, selector_col="selector").select(F.col("id").alias("page_id"), "pdf")
+
+
+@query(
+    "linked_data",
+    """SELECT page_id, nullif(title, '') AS title, nullif(abstract, '') AS abstract, CASE WHEN page_id % 4 = 3 THEN '' WHEN page_id % 4 = 2 THEN 'One' WHEN page_id % 4 = 1 THEN 'Two' ELSE 'Three|Four' END AS authors FROM page_extracts""",
+)
+def linked_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Title, abstract and authors from linked data: one object or a list, authors as list, object or text; else from meta tags."""
+    n = F.col("page_id")
+    person = lambda x: F.to_json(F.struct(F.lit(x).alias("name")))
+    who = F.when(n % 4 == 2, person("One")).when(n % 4 == 1, F.lit('["Two"]')).when(n % 4 == 0, F.concat(F.lit("["), person("Three"), F.lit(',"Four"]'))).otherwise(F.lit('"Five"'))
+    quoted = lambda c: F.regexp_extract(F.to_json(F.struct(F.coalesce(c, F.lit("")).alias("v"))), r'(?s)^\{"v":(.*)\}$', 1)
+    kind = F.when(n % 4 == 2, "NewsArticle").otherwise("ScholarlyArticle")
+    one = F.concat(F.lit('{"@type":"'), kind, F.lit('","headline":'), quoted(F.col("title")), F.lit(',"description":'), quoted(F.col("abstract")), F.lit(',"author":'), who, F.lit("}"))
+    doc = F.when(n % 2 == 1, F.concat(F.lit('[{"@type":"WebSite"},'), one, F.lit("]"))).otherwise(one)
+    page = F.concat(F.lit('<script type="application/ld+json">{ broken</script><script type="application/ld+json">'), F.replace(doc, F.lit("</"), F.lit("<\\/")), F.lit("</script><p>x"))
+    found = html.documents(table(spark, folder, "page_extracts").select("page_id", page.alias("html")))
+    return found.select(F.col("id").alias("page_id"), F.nullif("title", F.lit("")).alias("title"), F.nullif("abstract", F.lit("")).alias("abstract"), F.array_join("authors", "|").alias("authors"))
+
+
+@query("rss_items", "SELECT CAST(seq AS VARCHAR) AS doi, translate(trim(url, chr(32) || chr(9) || chr(10) || chr(13)), chr(10) || chr(13), '  ') AS url, 'feed' AS source, date_trunc('second', fetched_at) AS published FROM feed_items WHERE url IS NOT NULL AND fetched_at IS NOT NULL")
+def rss_items(spark: SparkSession, folder: str) -> DataFrame:
+    """Entries of an RSS file that is written from the feed table and read again."""
+    f = table(spark, folder, "feed_items").where("url is not null and fetched_at is not null")
+    date = F.concat(F.date_format("fetched_at", "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" GMT"))
+    entry = F.concat(F.lit("<item><title>"), _escaped(F.col("title")), F.lit("</title><link>"), _escaped(F.col("url")), F.lit("</link><pubDate>"), date, F.lit("</pubDate><dc:identifier>"), F.col("seq").cast("string"), F.lit("</dc:identifier></item>"))
+    at = _shared(spark, "rss")
+    f.select(F.translate(entry, "\n\r", "  ").alias("value")).write.text(at)
+    return readers.rss(spark, at, "feed", F.current_timestamp(), whole_files=False).select("doi", "url", "source", "published")
+
+
+@query("sitemap_items", "SELECT url, 'site' AS source, TIMESTAMP '2024-05-01 00:00:00' AS published FROM page_extracts WHERE url IS NOT NULL")
+def sitemap_items(spark: SparkSession, folder: str) -> DataFrame:
+    """Addresses of a sitemap that is written from the page table and read again."""
+    entry = F.concat(F.lit("<url><loc> "), _escaped(F.col("url")), F.lit(" </loc><lastmod>2024-05-01</lastmod></url>"))
+    at = _shared(spark, "sitemap")
+    table(spark, folder, "page_extracts").where("url is not null").select(entry.alias("value")).write.text(at)
+    return readers.sitemap(spark, at, "site", F.to_timestamp(F.lit("2024-05-01 00:00:00")), whole_files=False).select("url", "source", "published")
+
+
+@query("failed_queue", "SELECT url, source, title, 'no text' AS error, strftime(fetched_at, '%Y-%m-%dT%H:%M:%S') AS failed_at FROM page_extracts WHERE text IS NULL")
+def failed_queue(spark: SparkSession, folder: str) -> DataFrame:
+    """The failed queue written, spoilt by lines that are no records, and read again."""
+    p = table(spark, folder, "page_extracts").select("url", "source", "title", F.col("fetched_at").alias("published"), "fetched_at", F.when(F.col("text").isNull(), "no text").alias("e"))
+    at = _shared(spark, "failed")
+    failures.append(failures.records(p, "e", F.col("fetched_at")), at)
+    spark.createDataFrame([("{ no json",), ("",)], "value string").write.mode("append").text(at)
+    return failures.read(spark, at).select("item.url", "item.source", "item.title", "error", "failed_at")
+
+
+@query(
+    "rejected_summaries",
+    """SELECT paper_id, CASE paper_id % 5 WHEN 0 THEN 'no JSON object' WHEN 1 THEN 'wrong type: title' WHEN 2 THEN 'no JSON object' WHEN 3 THEN 'wrong type: authors' END AS error, CASE WHEN paper_id % 5 = 4 THEN final_summary END AS final_summary FROM summaries_html""",
+)
+def rejected_summaries(spark: SparkSession, folder: str) -> DataFrame:
+    """Model answers that are no JSON, no object, or have a field of the wrong type, beside good ones."""
+    n = F.col("paper_id")
+    field = lambda k: F.when(n % 5 == 1, 7).cast("int").alias(k) if k == "title" else F.lit(None).cast("string").alias(k)
+    base = [F.col(k) for k in SUMMARY_KEYS if k not in ("title", "authors")]
+    good = F.to_json(F.struct("title", "authors", *base), {"ignoreNullFields": "false"})
+    number = F.to_json(F.struct(field("title"), F.col("authors"), *base), {"ignoreNullFields": "false"})
+    flat = F.to_json(F.struct(F.col("title"), F.lit("One").alias("authors"), *base), {"ignoreNullFields": "false"})
+    raw = F.when(n % 5 == 0, F.lit("Sorry, I cannot do that.")).when(n % 5 == 1, number).when(n % 5 == 2, F.lit("[1, 2]")).when(n % 5 == 3, flat).otherwise(good)
+    v = summaries.validated(table(spark, folder, "summaries_html").select("paper_id", raw.alias("raw")))
+    return v.select("paper_id", "error", F.col("summary.final_summary").alias("final_summary"))
+
+
+@query(
+    "open_access_any_location",
+    f"""SELECT {_DOI_KEY} AS doi, max(CASE WHEN paper_id % 2 = 0 THEN 'https://a.example/' ELSE 'https://b.example/' END || {_DOI_KEY}) AS pdf_url FROM summaries_pdf WHERE regexp_matches(doi, '{text.DOI}') AND paper_id % 3 <> 0 GROUP BY 1""",
+)
+def open_access_any_location(spark: SparkSession, folder: str) -> DataFrame:
+    """Open-access records by their best location, or else the first of all, with a PDF or page address."""
+    doi = F.lower(F.regexp_replace(text.first_doi(F.col("doi")), r"[).,;]+$", ""))
+    n = F.col("paper_id")
+    best = F.when(n % 2 == 0, F.struct(F.concat(F.lit("https://a.example/"), doi).alias("url_for_pdf")))
+    rest = F.array(F.struct(F.lit("").alias("url_for_pdf"), F.concat(F.lit("https://b.example/"), doi).alias("url")), F.struct(F.lit("https://c.example").alias("url_for_pdf"), F.lit(None).cast("string").alias("url")))
+    body = F.to_json(F.struct((n % 3 != 0).alias("is_oa"), best.alias("best_oa_location"), rest.alias("oa_locations")))
+    lookup = table(spark, folder, "summaries_pdf").where("doi is not null").select(F.nullif(doi, F.lit("")).alias("doi"), body.alias("json"))
+    return fulltext.open_access(lookup, any_location=True).select("doi", "oa.pdf_url")
+
+
+@query("science_links", "SELECT link_id, coalesce(contains(url, '/science/article/') OR contains(url, 'doi.org'), false) AS science FROM list_links")
+def science_links(spark: SparkSession, folder: str) -> DataFrame:
+    """Links to journal articles and identifiers."""
+    return table(spark, folder, "list_links").select("link_id", url.is_science_link(F.col("url")).alias("science"))
+
+
+@query("elapsed_seconds", "SELECT page_id, round((epoch_us(fetched_at) - epoch_us(TIMESTAMP '2024-01-01 00:00:00')) / 1000000, 2) AS seconds FROM page_extracts")
+def elapsed_seconds(spark: SparkSession, folder: str) -> DataFrame:
+    """Seconds between a fixed time and each fetch."""
+    return table(spark, folder, "page_extracts").select("page_id", audit.elapsed(F.to_timestamp(F.lit("2024-01-01 00:00:00")), F.col("fetched_at").cast("timestamp")).alias("seconds"))

@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sheafline.session import cut
+
 
 def dated(df: DataFrame, folder: str, run_at: Column, form: str = "parquet") -> None:
     """Rows below ``y=/m=/d=`` of the run."""
@@ -31,13 +33,27 @@ def contents(df: DataFrame, folder: str) -> None:
 
 
 def notify(df: DataFrame, send: Callable[[str], None] | None) -> int:
-    """Hands each ``payload`` to ``send`` on the executors; without one nothing is sent. Returns the number of payloads."""
+    """Hands each ``payload`` to ``send`` on the executors; without one nothing is sent. Returns the number of payloads.
+
+    The rows are cut first, so that what makes them runs once. A task that is retried sends again what it had sent.
+    """
     if send is None:
         return 0
+    rows_to_send = cut(df.select("payload"))
 
     def deliver(rows: Iterator) -> None:
         for r in rows:
             send(r["payload"])
 
-    df.select("payload").foreachPartition(deliver)
-    return df.count()
+    rows_to_send.foreachPartition(deliver)
+    return rows_to_send.count()
+
+
+def raw_answers(df: DataFrame, folder: str) -> None:
+    """Model answers that did not validate, as they came, beside their error."""
+    df.where("error is not null").select("article_id", "error", "raw").write.mode("append").json(folder)
+
+
+def summary_files(df: DataFrame, folder: str, run_at: Column) -> None:
+    """Valid summaries as JSON below the folder of the run's day."""
+    dated(df.where("summary is not null").select("article_id", "summary"), folder, run_at, "json")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,9 +32,9 @@ def _time(df: DataFrame, value: str, run_at: Column) -> DataFrame:
     return df.withColumn("published", F.coalesce(F.try_to_timestamp("iso_value"), run_at)).drop("_order", "_tz", "p", "iso_value")
 
 
-def rss(spark: SparkSession, path: str, source: str, run_at: Column) -> DataFrame:
-    """Entries of RSS files; a missing date becomes the time of the run."""
-    raw = spark.read.format("xml").schema(RSS_ENTRY).option("rowTag", "item").option("ignoreNamespace", "true").load(path)
+def rss(spark: SparkSession, path: str, source: str, run_at: Column, whole_files: bool = True) -> DataFrame:
+    """Entries of RSS files; a missing date becomes the time of the run. ``whole_files=False``: files with one entry a line, without a root."""
+    raw = spark.read.format("xml").schema(RSS_ENTRY).option("rowTag", "item").option("ignoreNamespace", "true").option("multiLine", whole_files).load(path)
     rows = raw.select(F.trim("link").alias("url"), F.lit(source).alias("source"), "title", F.col("pubDate").alias("_date"), F.col("identifier").alias("doi"), F.coalesce("creator", F.array_compact(F.array("author"))).alias("_who"))
     rows = _time(rows, "_date", run_at)
     return rows.select("url", "source", "title", "published", "doi", F.transform("_who", lambda a: F.struct(a.alias("name"))).alias("authors"))
@@ -47,10 +48,10 @@ def atom(spark: SparkSession, path: str, source: str, run_at: Column) -> DataFra
     return _time(rows, "_date", run_at).select("url", "source", "title", "published", F.lit(None).cast("string").alias("doi"), "authors")
 
 
-def sitemap(spark: SparkSession, path: str, source: str, run_at: Column) -> DataFrame:
-    """Addresses of a sitemap, or of the sitemaps an index lists."""
-    frames = [spark.read.format("xml").schema(SITEMAP_ENTRY).option("rowTag", tag).option("ignoreNamespace", "true").load(path) for tag in ("url", "sitemap")]
-    locs = frames[0].unionByName(frames[1]).where("loc is not null")
+def sitemap(spark: SparkSession, path: str, source: str, run_at: Column, whole_files: bool = True) -> DataFrame:
+    """Addresses of a sitemap, or of the sitemaps an index lists. ``whole_files=False``: files with one entry a line, without a root."""
+    frames = [spark.read.format("xml").schema(SITEMAP_ENTRY).option("rowTag", tag).option("ignoreNamespace", "true").option("multiLine", whole_files).load(path) for tag in (("url", "sitemap") if whole_files else ("url",))]  # a line is one entry, whatever its tag
+    locs = reduce(DataFrame.unionByName, frames).where("loc is not null")
     return locs.select(F.trim("loc").alias("url"), F.lit(source).alias("source"), F.lit(None).cast("string").alias("title"), run_at.cast("timestamp").alias("published"))
 
 

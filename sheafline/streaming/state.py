@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,8 +32,10 @@ def accept(spark: SparkSession, stream: DataFrame, seen_folder: str, out_folder:
         keyed = batch.withColumn("article_key", url.article_key(F.col("url"))).where("article_key is not null")
         try:
             before = spark.read.parquet(seen_folder).where(F.col("batch") != number).select("id")
-        except Exception:  # noqa: BLE001 - nothing accepted yet
-            before = spark.createDataFrame([], "id string")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            before = spark.createDataFrame([], "id string")  # nothing accepted yet
         new = items.first_by(items.unseen(keyed, before, "article_key"), F.col("article_key"), "seq").persist()
         new.write.mode("overwrite").parquet(f"{out_folder}/batch={number}")
         new.select(F.col("article_key").alias("id")).write.mode("overwrite").parquet(f"{seen_folder}/batch={number}")
