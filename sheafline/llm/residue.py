@@ -17,7 +17,6 @@ Null and blank values are no cases. The model is fitted on at most ``bound`` unl
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -80,11 +79,18 @@ _MARK = " unfilledplaceholder "
 _END = re.compile(r"[.!?…][\"'”’»)\]]{0,3}(?:\s?\[\d+\])?$|\)$")
 
 
-@lru_cache(maxsize=50_000)
+_judged: dict[str, bool] = {}  # short lines recur on many pages; bounded, and the functions travel with it
+
+
 def furniture_line(line: str) -> bool:
     """Whether a line of a page is a heading, a menu, a notice of the site or a bare title, from the line alone."""
-    low = line.lower().strip()
-    return bool(has_cue(low) or _SEPARATED.search(line) or low.strip(":. ") in _HEADING)
+    got = _judged.get(line)
+    if got is None:
+        low = line.lower().strip()
+        got = bool(has_cue(low) or _SEPARATED.search(line) or low.strip(":. ") in _HEADING)
+        if len(line) < 100 and len(_judged) < 5_000:
+            _judged[line] = got
+    return got
 
 
 def trusted(value: str) -> int:
@@ -214,6 +220,7 @@ def fit(rows: DataFrame, page_fields: tuple[str, ...] = ("text",), bound: int =
                     ts = [_MARK.strip()]  # the words around a placeholder are those of articles
                 feats.append(P.features(ts, model.bits))
                 labels.append(y)
+    _judged.clear()  # not to be sent along
     return model.fit(feats, np.array(labels, np.int64))
 
 
