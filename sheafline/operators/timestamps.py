@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sheafline.session import cut
+
 # Month names and short forms in English, German, French and Spanish, accents removed.
 MONTHS = {
     "january": 1, "jan": 1, "januar": 1, "janvier": 1, "janv": 1, "enero": 1, "ene": 1,
@@ -213,7 +215,7 @@ def estimate_zones(
     written = p["stamp"] - _minutes(offset(p, F.col("tz")))
     without = F.when((back != p["stamp"]) | (lag < -slack_minutes), 1.0).otherwise(F.least(F.abs(lag - F.col("usual")) / F.lit(float(cap_minutes)), F.lit(1.0)))
     against = F.when(p["zone"].isNull(), without).otherwise((F.convert_timezone(F.lit("UTC"), F.col("tz"), written) != p["stamp"]).cast("double"))
-    counts = rows.groupBy("source", "month", "tz", "rank").agg(F.sum(against).alias("bad"), F.count(F.lit(1)).alias("n"))
+    counts = cut(rows.groupBy("source", "month", "tz", "rank").agg(F.sum(against).alias("bad"), F.count(F.lit(1)).alias("n")))  # small, read often below
     # sums before each month and from it on; the first month's cut is no cut
     by = Window.partitionBy("source", "tz").orderBy("month")
     every = counts.select("source", "month").distinct().join(counts.select("source", "tz", "rank").distinct(), "source").join(counts, ["source", "month", "tz", "rank"], "left").fillna(0, ["bad", "n"])
@@ -242,9 +244,11 @@ def normalise_times(
     rows = df.select(*ids, F.col(source_col).alias("source"), F.col(value_col).alias("value"), ingested.alias("ingested"))
     known = clock.select("source", "tz_name", "date_order").where(F.col("source").isNotNull()).dropDuplicates(["source"])
     joined = rows.where(F.col("value").isNotNull()).join(known, "source", "left")
-    joined = with_parts(joined.withColumn("tz", F.col("tz_name")), "value", "date_order").where(F.col("p").isNotNull())
+    joined = joined.withColumn("tz", F.col("tz_name"))
+    unknown = with_parts(joined.where(F.col("tz").isNull() & F.col("source").isNotNull()), "value", "date_order").where(F.col("p").isNotNull())
+    joined = with_parts(joined, "value", "date_order").where(F.col("p").isNotNull())
     if estimate:
-        guessed = estimate_zones(joined.where(F.col("tz").isNull()))
+        guessed = estimate_zones(unknown)
         early = guessed.where("since is null").select("source", "tz_estimated")
         late = guessed.where("since is not null").select("source", "since", F.col("tz_estimated").alias("tz_later"))
         moved = F.coalesce(F.col("ingested").cast("timestamp_ntz"), F.col("p.stamp")) >= F.col("since")
