@@ -8,10 +8,9 @@ and nothing stored is computed or written again. What could change with the data
 Two headlines within a radius differ by at most that radius in the distance to any pivot (triangle inequality). Headlines are
 stored in folders by ranges of the first pivot's distance; a new headline asks only in the ranges, of both pivots, that its
 distances plus or minus the radius touch, and the true distance of what is met there is then computed. Edit distances of
-long headlines vary little between unrelated texts, so the join is also partitioned by what a near copy leaves untouched:
-the frequent words of the headline (slips in them are corrected first, so that they agree), or one of its rare words. A copy
-with slips in frequent words agrees in both, one with a slip in a name in the former, a reworded one in the latter. A pair with
-a slip in its only rare word and another frequent word reworded shares neither and is not compared.
+long headlines vary little between unrelated texts, so the join is also partitioned by what a near copy leaves untouched: a rare
+word, what a slip leaves of one, or the frequent words of the headline (slips in them are corrected first, so that they agree)
+with a part of its other words. ``near_forms`` says which headlines are near; all such pairs are found.
 
 Links (pairs of row numbers) are stored too; articles are their transitive closure, so a later row can join two articles.
 
@@ -25,7 +24,9 @@ from __future__ import annotations
 
 import functools
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,7 +81,7 @@ def frequent_words(heads: DataFrame, share: float = 0.0005, least: int = 20) ->
 
 
 def pivot_table(heads: DataFrame, frequent: list[str]) -> DataFrame:
-    """``head`` and other columns with ``form, text, numbers, frame, rare``: corrected form and blocks of each headline; null stays null."""
+    """``head`` and other columns with ``form, text, rest, numbers, frame, rare``: corrected form and blocks of each headline; null stays null."""
     known = heads.sparkSession.sparkContext.broadcast(frequent)
     made: dict[int, Speller] = {}
 
@@ -88,16 +89,17 @@ def pivot_table(heads: DataFrame, frequent: list[str]) -> DataFrame:
         if 0 not in made:
             made[0] = Speller(known.value)
         spell = made[0]
-        form, frame, rare, numbers = [], [], [], []
+        form, rest, frame, rare, numbers = [], [], [], [], []
         for h in b["head"]:
             ws = [spell(w) for w in h.split(" ") if w not in LIGHT] if h else []
             form.append(" ".join(ws) if h else None)
+            rest.append("".join(w for w in ws if w not in spell.frequent and not w.isdigit()))
             frame.append(" ".join(w for w in ws if w in spell.frequent or w.isdigit()))
             rare.append(sorted({w for w in ws if w not in spell.frequent and not w.isdigit() and len(w) > 3}))
             numbers.append(" ".join(w for w in ws if w in MARKERS or any(c.isdigit() for c in w)))
-        return b.assign(form=form, frame=frame, rare=rare, numbers=numbers)
+        return b.assign(form=form, rest=rest, frame=frame, rare=rare, numbers=numbers)
 
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in heads.schema) + ", form string, frame string, rare array<string>, numbers string"
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in heads.schema) + ", form string, rest string, frame string, rare array<string>, numbers string"
     return P.map_batches(heads, apply, schema).withColumn("text", F.replace("form", F.lit(" "), F.lit("")))
 
 
@@ -113,39 +115,166 @@ def choose_pivots(forms: DataFrame, sample: int = 256) -> list[str]:
     return [a, far(a)]
 
 
-def _blocks(forms: DataFrame) -> DataFrame:
-    """Rows of each block that a headline is in: its rare words, and its frequent words if it has rare ones."""
-    rare = F.transform("rare", lambda w: F.struct(F.xxhash64(F.lit("r"), w, F.col("numbers")).alias("block"), F.lit(RADIUS).alias("r")))
-    frame = F.when(F.size("rare") > 0, F.array(F.struct(F.xxhash64(F.lit("f"), F.col("frame")).alias("block"), F.lit(2 * NAME_RADIUS).alias("r")))).otherwise(F.expr("array()"))
-    both = forms.select("*", F.explode(F.concat(rare, frame)).alias("b"))
-    return both.select("*", "b.block", "b.r").drop("b", "numbers", "frame")
+def _variants(word: Column) -> Column:
+    """The word and what is left of it without one of its letters, for words of at least five letters; shorter ones have no slips."""
+    less = F.transform(F.sequence(F.lit(1), F.length(word)), lambda i: F.concat(F.substring(word, F.lit(1), i - 1), F.substring(word, i + 1, F.length(word))))
+    return F.when(F.length(word) > 4, F.concat(F.array(word), less)).otherwise(F.array(word))
 
 
-def near_forms(asked: DataFrame, stored: DataFrame) -> DataFrame:
-    """``a, b`` (numbers of rows) of each headline in ``asked`` and another in ``stored`` within the radius, numbers equal.
+def _thirds(text: Column) -> Column:
+    """Parts of which two texts at most two edits apart share one: first third, last third, or (an edit in each) what lies between.
 
-    Both: ``seq, text, frame, rare, numbers, d0, d1``, one row per distinct corrected headline. In the block of a frame only names
-    differ, so slips in them must be few (or mere transpositions). Every block is split by ranges of both pivot distances,
-    which loses no pair, so a block that a third of all headlines share is spread too.
+    Thirds are of one size within eight lengths, and a text has those of its own length and of two letters more. The middle may be
+    shifted by a letter at either end, so nine cuts of it are taken.
     """
-    at = lambda c: F.floor(c / RANGE).cast("int")
-    touched = lambda d: F.sequence(at(F.col(d) - F.col("r")), at(F.col(d) + F.col("r")))
-    right = _blocks(stored).withColumn("cell", F.xxhash64("block", at(F.col("d0")), at(F.col("d1")))).drop("block")
-    right = right.select("cell", *[F.col(c).alias(f"{c}_2") for c in ("seq", "text", "rare", "d0", "d1", "r")])
-    cells = F.flatten(F.transform(touched("d0"), lambda x: F.transform(touched("d1"), lambda y: F.xxhash64(F.col("block"), x, y))))
-    left = _blocks(asked).withColumn("cell", F.explode(cells)).select("cell", "seq", "text", "rare", "d0", "d1", "r")
-    near = left.join(right, "cell").where((F.col("r") == F.col("r_2")) & (F.col("seq") != F.col("seq_2")))
-    near = near.where((F.abs(F.col("d0") - F.col("d0_2")) <= F.col("r")) & (F.abs(F.col("d1") - F.col("d1_2")) <= F.col("r")))
-    distance = F.levenshtein("text", "text_2", RADIUS)
-    letters = lambda c: F.array_join(F.array_sort(F.split(c, "")), "")
+
+    def parts(c: Column) -> Column:
+        k = F.greatest(F.lit(2), F.floor((8 * c + 1) / 3).cast("int"))
+        ends = [F.concat(F.lit("p"), F.substring(text, F.lit(1), k)), F.concat(F.lit("s"), F.substring(text, F.greatest(F.lit(1), F.length(text) - k + 1), k))]
+        inner = [F.concat(F.lit("m"), F.substring(text, k + 1 + i, F.greatest(F.lit(0), F.length(text) - 2 * k - i - j))) for i in range(3) for j in range(3)]
+        short = F.when(F.length(text) < 8, F.lit("x")).otherwise(F.lit("p"))
+        return F.transform(F.array(*ends, *inner, short), lambda x: F.concat(c.cast("string"), x))
+
+    at = lambda n: F.floor((F.length(text) + n) / 8).cast("int")
+    return F.array_distinct(F.concat(parts(at(0)), parts(at(2))))
+
+
+def _letters(text: Column) -> Column:
+    return F.array_join(F.array_sort(F.split(text, "")), "")
+
+
+def _keyed(forms: DataFrame, new: bool, slips: bool) -> DataFrame:
+    """``block, seq, d0, d1, flags``: what near headlines agree in, with flag 1 of new headlines and 2 of those without rare words.
+
+    Rare words and, for ``slips``, what they leave without a letter; for headlines without rare words the same of all their words,
+    and thirds and sorted letters of the text.
+    """
+    bare = F.size("rare") == 0
+    words = F.col("rare")
+    if slips:
+        words = F.flatten(F.transform(F.when(bare, F.split("frame", " ")).otherwise(words), _variants))
+    keys = F.transform(F.array_distinct(words), lambda w: F.xxhash64(F.lit("r"), w, F.col("numbers")))
+    flags = F.lit(int(new)) + F.when(bare, 2).otherwise(0)
+    if slips:
+        own = F.transform(F.concat(_thirds(F.col("text")), F.array(_letters(F.col("text")))), lambda x: F.xxhash64(F.lit("t"), x, F.col("numbers")))
+        rows = forms.select("seq", "d0", "d1", flags.alias("flags"), F.explode(F.concat(F.transform(keys, lambda k: F.struct(k.alias("block"), F.lit(0).alias("text"))), F.when(bare, F.transform(own, lambda k: F.struct(k.alias("block"), F.lit(4).alias("text")))).otherwise(F.expr("array()")))).alias("b"))
+        return rows.select("b.block", "seq", "d0", "d1", (F.col("flags") + F.col("b.text")).alias("flags"))
+    return forms.select(F.explode(keys).alias("block"), "seq", "d0", "d1", flags.alias("flags"))
+
+
+def _in_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """``a, b`` that share a block and differ in neither pivot distance by more than the radius; each has ``block`` with all its rows in one partition."""
+    parts = list(batches)
+    if not parts:
+        return
+    block, seq, d0, d1, flags = (np.concatenate([p[c].to_numpy() for p in parts]) for c in ("block", "seq", "d0", "d1", "flags"))
+    del parts
+    order = np.lexsort((d0, block))
+    block, seq, d0, d1, flags = block[order], seq[order], d0[order], d1[order], flags[order]
+    # rows of a block lie in the order of the first pivot's distance: each is compared with those that follow within the radius
+    at, step, held, n = np.arange(max(0, len(block) - 1)), 1, [], 0
+    while len(at):
+        to = at + step
+        on = to < len(block)
+        at, to = at[on], to[on]
+        on = (block[at] == block[to]) & (d0[to] - d0[at] <= RADIUS)
+        at, to = at[on], to[on]
+        # by words, two headlines without rare ones are not compared (their frequent words are no evidence); by texts they are
+        hit = (np.abs(d1[at] - d1[to]) <= RADIUS) & ((flags[at] | flags[to]) & 1 > 0) & (seq[at] != seq[to]) & ((flags[at] & flags[to] & 2 == 0) | (flags[at] & flags[to] & 4 > 0))
+        held.append(pd.DataFrame({"a": np.minimum(seq[at[hit]], seq[to[hit]]), "b": np.maximum(seq[at[hit]], seq[to[hit]])}))
+        n += len(held[-1])
+        if n > 200_000:
+            yield pd.concat(held)
+            held, n = [], 0
+        step += 1
+    if n:
+        yield pd.concat(held).drop_duplicates()
+
+
+def _parts(rest: str) -> set[str]:
+    """The same parts as ``_thirds`` and the sorted letters."""
+    found = {"".join(sorted(rest))}
+    for c in {len(rest) // 8, (len(rest) + 2) // 8}:
+        k = max(2, (8 * c + 1) // 3)
+        found |= {f"{c}p{rest[:k]}", f"{c}s{rest[-k:]}"}
+        found |= {f"{c}m{rest[k + i : max(k + i, len(rest) - k - j)]}" for i in range(3) for j in range(3)}
+    return found
+
+
+def _in_frames(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """``a, b`` of one frame whose other words share a part; rows of a ``block`` lie together."""
+    frame, parts, rows, held = None, {}, [], []
+    for batch in batches:
+        for block, seq, d0, d1, new, rest in zip(*(batch[c].tolist() for c in ("block", "seq", "d0", "d1", "flags", "rest"))):
+            if block != frame:
+                frame, parts, rows = block, {}, []
+            rows.append((seq, d0, d1, new, rest))
+            if len(rows) == 1:
+                continue
+            if len(rows) <= 4:
+                met = range(len(rows) - 1)
+            else:
+                if not parts:
+                    for i, r in enumerate(rows[:-1]):
+                        for p in _parts(r[4]):
+                            parts.setdefault(p, []).append(i)
+                own = _parts(rest)
+                met = {i for p in own for i in parts.get(p, ())}
+                for p in own:
+                    parts.setdefault(p, []).append(len(rows) - 1)
+            for i in met:
+                other, e0, e1, was_new, words = rows[i]
+                if (new or was_new) and other != seq and abs(len(words) - len(rest)) <= NAME_RADIUS and abs(d0 - e0) <= 2 * NAME_RADIUS and abs(d1 - e1) <= 2 * NAME_RADIUS:
+                    held.append((min(seq, other), max(seq, other)))
+        if held:
+            yield pd.DataFrame(held, columns=["a", "b"])
+            held = []
+
+
+def near_forms(asked: DataFrame, stored: DataFrame, slips: bool = False) -> DataFrame:
+    """``a, b`` (numbers of rows) of each headline in ``asked`` and another in ``asked`` or ``stored`` that is near, numbers equal.
+
+    Both: ``seq, text, rest, frame, rare, numbers, d0, d1``, one row per distinct corrected headline. Near are
+
+    * headlines that share a rare word and are within the radius, if no other name is replaced by a different one;
+    * headlines of one frame (the same frequent words) whose other words differ in few letters, or mere transpositions;
+    * with ``slips``, headlines within the radius that share neither, if a rare word is a slip of one of the other's (one letter
+      changed, added, left out or moved, in words of five letters or more) and no other name is replaced; and headlines without rare
+      words, or one without and one with a slip of its words, if they differ in as few letters as those of one frame.
+
+    Pairs are looked for among headlines that share a rare word, what a slip leaves of one, or in a frame a part of the other words,
+    which loses none of them; there the distances to the pivots are compared first.
+    """
+    kind = "a long, b long"
+    by_words = _keyed(asked, True, slips).unionByName(_keyed(stored, False, slips))
+    framed = lambda df, new: df.where(F.size("rare") > 0).select(F.xxhash64(F.lit("f"), "frame", "numbers").alias("block"), "seq", "d0", "d1", F.lit(new).alias("flags"), "rest")
+    by_frame = framed(asked, 1).unionByName(framed(stored, 0))
+    found = by_words.repartition("block").mapInPandas(_in_blocks, kind)
+    found = found.unionByName(by_frame.repartition("block").sortWithinPartitions("block").mapInPandas(_in_frames, kind)).distinct()
+    both = asked.unionByName(stored).select("seq", "text", "rest", "frame", "rare", "numbers")
+    one_of = lambda n: both.select(F.col("seq").alias("ab"[n - 1]), *[F.col(c).alias(c if n == 1 else f"{c}_2") for c in both.columns[1:]])
+    near = found.join(one_of(1), "a").join(one_of(2), "b").where("numbers = numbers_2")
+    near = near.withColumn("d", F.levenshtein("text", "text_2", RADIUS)).where(F.col("d").between(0, RADIUS))
+    d, least = F.col("d"), F.least(F.size("rare"), F.size("rare_2"))
+    close = (d <= NAME_RADIUS) | ((d <= 2 * NAME_RADIUS) & (_letters(F.col("text")) == _letters(F.col("text_2"))))
+    own, other = F.array_except("rare", "rare_2"), F.array_except("rare_2", "rare")
+    text = lambda words: F.array_join(words, " ")
     # of two headlines with a name in common, another name must not be replaced by a different one
-    own, other = F.array_join(F.array_except("rare", "rare_2"), " "), F.array_join(F.array_except("rare_2", "rare"), " ")
-    names = (own == "") | (other == "") | F.levenshtein(own, other, NAME_RADIUS + 1).between(0, NAME_RADIUS + 1)
+    kept = lambda x, y: (F.size(x) == 0) | (F.size(y) == 0) | F.levenshtein(text(x), text(y), NAME_RADIUS + 1).between(0, NAME_RADIUS + 1)
+    named = F.arrays_overlap("rare", "rare_2") & kept(own, other)
     # forms of one frame that differ in one word each are told apart by those words, which are short
-    one = (F.size(F.array_except("rare", "rare_2")) == 1) & (F.size(F.array_except("rare_2", "rare")) == 1)
-    near = near.where((F.col("r") == RADIUS) | ~one | F.levenshtein(own, other, 2 * NAME_RADIUS).between(0, 2 * NAME_RADIUS))
-    same = F.when(F.col("r") == RADIUS, distance.between(0, RADIUS) & names).otherwise(distance.between(0, NAME_RADIUS) | (distance.between(0, 2 * NAME_RADIUS) & (letters("text") == letters("text_2"))))
-    return near.where(same).select(F.least("seq", "seq_2").alias("a"), F.greatest("seq", "seq_2").alias("b")).distinct()
+    one = (F.size(own) == 1) & (F.size(other) == 1)
+    rest = F.levenshtein("rest", "rest_2", NAME_RADIUS).between(0, NAME_RADIUS) | (_letters(F.col("rest")) == _letters(F.col("rest_2")))
+    framed = (F.col("frame") == F.col("frame_2")) & (least > 0) & close & rest & (~one | F.levenshtein(text(own), text(other), 2 * NAME_RADIUS).between(0, 2 * NAME_RADIUS))
+    same = named | framed
+    if slips:
+        slip = lambda x, y: (F.length(x) > 4) & (F.length(y) > 4) & F.levenshtein(x, y, 2).between(0, 2) & F.arrays_overlap(_variants(x), _variants(y))
+        alone = lambda x, y: F.filter(x, lambda v: ~F.exists(y, lambda w: slip(v, w)))
+        slipped = F.exists(own, lambda v: F.exists(other, lambda w: slip(v, w))) & kept(alone(own, other), alone(other, own))
+        words = lambda rare, frame: F.when(F.size(rare) > 0, F.col(rare)).otherwise(F.split(frame, " "))
+        bare = (least == 0) & close & ((F.greatest(F.size("rare"), F.size("rare_2")) == 0) | F.exists(words("rare", "frame"), lambda v: F.exists(words("rare_2", "frame_2"), lambda w: slip(v, w))))
+        same = same | ((least > 0) & ~F.arrays_overlap("rare", "rare_2") & slipped) | bare
+    return near.where(same).select("a", "b").distinct()
 
 
 class ArticleStore:
@@ -203,16 +332,16 @@ class ArticleStore:
                 self._write(fresh, "pages", batch)
                 continue
             # one row of each new form; equal forms have equal columns
-            rest = ["text", "frame", "rare", "numbers"]
+            rest = ["text", "rest", "frame", "rare", "numbers"]
             forms = fresh.join(there.groupBy(key).agg(*[F.first(c).alias(c) for c in rest]), key)
             forms = forms.withColumns({f"d{i}": F.levenshtein("text", F.lit(p)) for i, p in enumerate(self.pivots)})
             self._write(forms.withColumn("range", F.floor(F.col("d0") / RANGE)), "forms", batch, "range")
-        columns = "seq long, text string, frame string, rare array<string>, numbers string, d0 int, d1 int, range long"
+        columns = "seq long, text string, rest string, frame string, rare array<string>, numbers string, d0 int, d1 int, range long"
         asked = self.spark.read.schema(columns).parquet(f"{self.folder}/forms/batch={batch}")
         ranges = [r[0] for r in asked.select("range").distinct().collect()]  # few: headlines are short
         wanted = sorted({x + d for x in ranges for d in (-1, 0, 1)})
-        stored = asked.unionByName(self._read("forms", columns, batch).where(F.col("range").isin(wanted)))
-        links.append(near_forms(asked.drop("range"), stored.drop("range")))
+        stored = self._read("forms", columns, batch).where(F.col("range").isin(wanted))
+        links.append(near_forms(asked.drop("range"), stored.drop("range"), slips=True))
         self._write(functools.reduce(DataFrame.unionByName, links), "links", batch)
         self.spark.createDataFrame([(batch,)], "batch string").coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/done/of={batch}")
         if batch not in self.batches:
