@@ -3,7 +3,7 @@
 The store keeps one row per address and one per distinct corrected headline, with the row that announced it first and, for
 headlines, the edit distances to the store's pivots. It is only appended to: a new batch reads the columns it is joined by,
 and nothing stored is computed or written again. What could change with the data, the list of frequent words and the pivots
-(headlines that lie far from each other), is fixed when the first batch is appended.
+(beginnings of headlines that lie far from each other), is fixed when the first batch is appended.
 
 Two headlines within a radius differ by at most that radius in the distance to any pivot (triangle inequality). Headlines are
 stored in folders by ranges of the first pivot's distance; a new headline asks only in the ranges, of both pivots, that its
@@ -56,17 +56,19 @@ def page_key(url: Column) -> Column:
 
 def headlines(rows: DataFrame, seq: str = "seq", url: str = "url", title: str = "title", source: str = "source", least_words: int = 5) -> DataFrame:
     """``seq, page, head``: hashed canonical address; words of the headline, null if it identifies nothing."""
-    df = rows.select(F.col(seq).cast("long").alias("seq"), F.xxhash64(page_key(F.col(url).cast("string"))).alias("page"), page_key(F.col(url).cast("string")).isNotNull().alias("has"), F.col(title).cast("string").alias("title"), F.col(source).cast("string").alias("source"))
+    df = rows.select(F.col(seq).cast("long").alias("seq"), F.col(url).cast("string").alias("url"), F.col(title).cast("string").alias("title"), F.col(source).cast("string").alias("source"))
 
     def apply(b: pd.DataFrame) -> pd.DataFrame:
         heads = []
         for t, s in zip(b["title"], b["source"]):
             w = words(t, s)
             heads.append(" ".join(w) if len(w) >= least_words else None)
-        return pd.DataFrame({"seq": b["seq"], "page": b["page"], "has": b["has"], "head": heads})
+        return pd.DataFrame({"seq": b["seq"], "url": b["url"], "head": heads})
 
-    made = P.map_batches(spread(df.where("seq is not null")), apply, "seq long, page long, has boolean, head string")
-    return made.select("seq", F.when(F.col("has"), F.col("page")).alias("page"), "head")
+    made = P.map_batches(spread(df.where("seq is not null")), apply, "seq long, url string, head string")
+    # as an array of one, so that the expressions of the address are evaluated once
+    made = made.select("seq", F.explode(F.array(page_key(F.col("url")))).alias("key"), "head")
+    return made.select("seq", F.when(F.col("key").isNotNull(), F.xxhash64("key")).alias("page"), "head")
 
 
 def frequent_words(heads: DataFrame, share: float = 0.0005, least: int = 20) -> list[str]:
@@ -103,9 +105,12 @@ def pivot_table(heads: DataFrame, frequent: list[str]) -> DataFrame:
     return P.map_batches(heads, apply, schema).withColumn("text", F.replace("form", F.lit(" "), F.lit("")))
 
 
-def choose_pivots(forms: DataFrame, sample: int = 256) -> list[str]:
-    """Two headlines far from each other, by greedy choice among at most ``sample`` (those that hash lowest); any strings would do."""
-    some = forms.select("text").distinct().orderBy(F.xxhash64("text"), "text").limit(sample)
+def choose_pivots(forms: DataFrame, sample: int = 256, letters: int = 24) -> list[str]:
+    """Beginnings of two headlines far from each other, by greedy choice among at most ``sample`` (those that hash lowest).
+
+    Any strings would do; distances to short ones cost less and prune as well.
+    """
+    some = forms.select("text").distinct().orderBy(F.xxhash64("text"), "text").limit(sample).select(F.substring("text", 1, letters).alias("text")).distinct()
     texts = cut(some)
     first = texts.orderBy("text").limit(1).collect()
     if not first:
@@ -150,16 +155,17 @@ def _keyed(forms: DataFrame, new: bool, slips: bool) -> DataFrame:
     and thirds and sorted letters of the text.
     """
     bare = F.size("rare") == 0
-    words = F.col("rare")
-    if slips:
-        words = F.flatten(F.transform(F.when(bare, F.split("frame", " ")).otherwise(words), _variants))
-    keys = F.transform(F.array_distinct(words), lambda w: F.xxhash64(F.lit("r"), w, F.col("numbers")))
     flags = F.lit(int(new)) + F.when(bare, 2).otherwise(0)
-    if slips:
-        own = F.transform(F.concat(_thirds(F.col("text")), F.array(_letters(F.col("text")))), lambda x: F.xxhash64(F.lit("t"), x, F.col("numbers")))
-        rows = forms.select("seq", "d0", "d1", flags.alias("flags"), F.explode(F.concat(F.transform(keys, lambda k: F.struct(k.alias("block"), F.lit(0).alias("text"))), F.when(bare, F.transform(own, lambda k: F.struct(k.alias("block"), F.lit(4).alias("text")))).otherwise(F.expr("array()")))).alias("b"))
-        return rows.select("b.block", "seq", "d0", "d1", (F.col("flags") + F.col("b.text")).alias("flags"))
-    return forms.select(F.explode(keys).alias("block"), "seq", "d0", "d1", flags.alias("flags"))
+    words = F.when(bare, F.split("frame", " ")).otherwise(F.col("rare")) if slips else F.col("rare")
+    rows = forms.select("seq", "d0", "d1", flags.alias("flags"), "numbers", F.explode(words).alias("w"))
+    if not slips:
+        return rows.select(F.xxhash64(F.lit("r"), "w", "numbers").alias("block"), "seq", "d0", "d1", "flags")
+    # letter 0 leaves the word whole
+    rows = rows.withColumn("i", F.explode(F.sequence(F.lit(0), F.when(F.length("w") > 4, F.length("w")).otherwise(0))))
+    less = F.concat(F.substring("w", F.lit(1), F.col("i") - 1), F.substring("w", F.col("i") + 1, F.length("w")))
+    rows = rows.select(F.xxhash64(F.lit("r"), F.when(F.col("i") == 0, F.col("w")).otherwise(less), "numbers").alias("block"), "seq", "d0", "d1", "flags")
+    own = forms.where(bare).select("seq", "d0", "d1", (flags + 4).alias("flags"), "numbers", F.explode(F.concat(_thirds(F.col("text")), F.array(_letters(F.col("text"))))).alias("x"))
+    return rows.unionByName(own.select(F.xxhash64(F.lit("t"), "x", "numbers").alias("block"), "seq", "d0", "d1", "flags"))
 
 
 def _in_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

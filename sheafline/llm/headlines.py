@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import html
 import re
 import unicodedata
@@ -31,10 +32,13 @@ def fold(text: str) -> str:
     for _ in range(2):
         if "&" in text:
             text = _ENTITY.sub(lambda m: html.unescape(m.group().lower()), text)
+    if text.isascii():
+        return text.replace("&", " and ").replace("+", " and ").lower()
     text = unicodedata.normalize("NFKD", text.replace("ß", "ss")).replace("&", " and ").replace("+", " and ")
     return "".join(c for c in text if not unicodedata.combining(c)).lower()
 
 
+@functools.lru_cache(100_000)
 def spelling(word: str) -> str:
     """One spelling of what is written in two ways: British and American forms, plural endings, number words."""
     if word in NUMBERS:
@@ -97,12 +101,13 @@ class Speller:
                     self.index.setdefault(d, []).append(w)
         self.memo: dict[str, str] = {}
 
-    def _deletes(self, w: str) -> set[str]:
-        out = level = {w}
-        for _ in range(self.most):
-            level = {x[:i] + x[i + 1 :] for x in level for i in range(len(x))}
-            out = out | level
-        return out
+    def _deletes(self, w: str, most: int | None = None) -> set[str]:
+        level, out = [(0, w)], [w]
+        for _ in range(self.most if most is None else most):
+            # from left to right, so that each choice of letters is made once
+            level = [(i, x[:i] + x[i + 1 :]) for start, x in level for i in range(start, len(x))]
+            out += [x for _, x in level]
+        return set(out)
 
     def _allowed(self, w: str) -> int:
         return 1 if len(w) < 8 else self.most
@@ -118,11 +123,11 @@ class Speller:
         got = self.memo.get(w)
         if got is None:
             best: dict[int, set[str]] = {}
-            for d in self._deletes(w):
-                for x in self.index.get(d, ()):
-                    best.setdefault(edits(w, x, self.most), set()).add(x)
-            k = min(best, default=99)
             allowed = self._allowed(w)
+            # (words that lie within what is allowed share what so many deletions leave)
+            for x in {x for d in self._deletes(w, allowed) if d in self.index for x in self.index[d]}:
+                best.setdefault(edits(w, x, self.most), set()).add(x)
+            k = min(best, default=99)
             got = next(iter(best[k])) if k <= allowed and len(best[k]) == 1 else w
             if len(self.memo) < 500_000:
                 self.memo[w] = got
