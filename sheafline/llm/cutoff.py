@@ -2,7 +2,7 @@
 
 All distinct values are range-partitioned and sorted; the values that a stem begins follow it without a gap, so each stem is
 carried forward past values that only add a mark to its first continuation, and no hot prefix can fill a task; the few stems
-still carried at the end of a partition are looked up by their first characters. A value is reported if
+still carried at the end of a partition are compared with the first values of the next. A value is reported if
 
 * it ends in a damaged character;
 * it carries a cut mark and a longer copy exists, or it does not recur on many sites and its length falls where its source's marked values crowd, or (where a
@@ -17,10 +17,12 @@ Counts of lengths and words cover all rows. Null and blank values are no cases;
 
 from __future__ import annotations
 
+import bisect
 import re
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,41 +39,57 @@ def with_longer(values: DataFrame, least: int = 8) -> DataFrame:
     Of several such values the first in sorted order that adds more than a cut mark counts. ``values``: ``field_name, stem`` (looked up) and ``value``. Stems shorter than ``least`` have no copies.
     """
     # one list of texts; flag 0 marks values that are only looked at as copies
-    stems = values.where(F.length("stem") >= least).select("field_name", F.col("stem").alias("text"), F.lit(1).alias("asked"))
-    texts = stems.unionByName(values.where(F.length("value") >= least).select("field_name", F.col("value").alias("text"), F.lit(0).alias("asked")))
+    both = lambda text, asked: F.struct(text.alias("text"), F.lit(asked).alias("asked"))
+    stem, value = F.col("stem"), F.col("value")
+    each = F.explode(F.when(stem == value, F.array(both(stem, 1))).otherwise(F.array(both(stem, 1), both(value, 0)))).alias("t")
+    texts = values.select("field_name", each).select("field_name", "t.*").where(F.length("text") >= least)
     texts = texts.groupBy("field_name", "text").agg(F.max("asked").alias("asked"))
     parts = max(1, int(values.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     ordered = texts.repartitionByRange(parts, "field_name", "text").sortWithinPartitions("field_name", "text")
 
+    columns = ["field_name", "stem", "longer", "part", "place"]
+
     def carried(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         only_mark = re.compile(_ONLY_MARK).fullmatch
         field, held = None, []  # stems of which each begins the next, without continuation so far
+        part, place, open_ = TaskContext.get().partitionId(), 0, None
         for b in batches:
             out = []
             for name, text, asked in zip(b["field_name"], b["text"], b["asked"]):
+                # what earlier partitions' stems go on with: the first text, and those behind it while it may only add a mark to them
+                if open_ is None:
+                    first, open_ = name, [text[:n] for n in range(len(text)) if only_mark(text, n)]
+                    out.append((name, None, text, part, place))
+                elif open_:
+                    place += 1
+                    open_ = [x for x in open_ if name == first and text.startswith(x) and only_mark(text, len(x))]
+                    out.append((name, None, text, part, place))
                 still = []
                 for x in held if name == field else ():
                     if text.startswith(x):
                         if only_mark(text, len(x)):
                             still.append(x)
                         else:
-                            out.append((name, x, text[len(x) :]))
+                            out.append((name, x, text[len(x) :], part, None))
                 field, held = name, [*still, text] if asked else still
-            yield pd.DataFrame(out, columns=["field_name", "stem", "longer"])
+            yield pd.DataFrame(out, columns=columns).astype({"place": "Int64"})
         if held:
-            yield pd.DataFrame([(field, x, None) for x in held], columns=["field_name", "stem", "longer"])
-
-    seen = cut(ordered.mapInPandas(carried, "field_name string, stem string, longer string"))  # once: another run could draw other borders
-    inner = seen.where("longer is not null").select("field_name", "stem", "longer")
-    # borders: the stems that a partition leaves (each begins the next one) meet the texts that start like them
-    # (a few a partition, so that Spark knows their size and need not shuffle the texts)
-    held = seen.where("longer is null").select("field_name", "stem", F.substring("stem", 1, least).alias("start"))
-    left = values.sparkSession.createDataFrame(held.collect(), held.schema)
-    later = stems.unionByName(values.select("field_name", F.col("value").alias("text"), F.lit(0).alias("asked"))).where(F.length("text") >= least)
-    later = later.select("field_name", "text", F.substring("text", 1, least).alias("start")).join(left, ["field_name", "start"])
-    later = later.where(F.col("text").startswith(F.col("stem"))).select("field_name", "stem", "text", F.expr("substring(text, length(stem) + 1)").alias("longer"))
-    later = later.where(~F.col("longer").rlike("^(?:" + _ONLY_MARK + ")$"))
-    return inner.unionByName(later.groupBy("field_name", "stem").agg(F.min_by("longer", "text").alias("longer")))
+            yield pd.DataFrame([(field, x, None, part, None) for x in held], columns=columns).astype({"place": "Int64"})
+
+    seen = cut(ordered.mapInPandas(carried, "field_name string, stem string, longer string, part int, place long"))  # once: another run could draw other borders
+    inner = seen.where("stem is not null and longer is not null").select("field_name", "stem", "longer")
+    # borders: the stems that a partition leaves (each begins the next one) go on with the first texts of those after it
+    ends = seen.where("stem is null or longer is null").orderBy("part", "place").collect()
+    firsts, later = [r for r in ends if r["stem"] is None], []
+    for r in ends:
+        if r["stem"] is not None:
+            for f in firsts[bisect.bisect_right(firsts, r["part"], key=lambda f: f["part"]) :]:
+                if f["field_name"] != r["field_name"] or not f["longer"].startswith(r["stem"]):
+                    break
+                if not re.fullmatch(_ONLY_MARK, f["longer"][len(r["stem"]) :]):
+                    later.append((r["field_name"], r["stem"], f["longer"][len(r["stem"]) :]))
+                    break
+    return inner.unionByName(values.sparkSession.createDataFrame(later, inner.schema))
 
 
 def _words(text: Column) -> Column:
@@ -140,9 +158,9 @@ def evidence(values: DataFrame, others: DataFrame, sentence_fields: tuple[str, .
 
     # copies
     # (letter case and white space do not count)
-    fold = lambda c: F.regexp_replace(F.lower(F.regexp_replace(c, r"(?U)^\s+|\s+$", "")), r"(?U)\s+", " ")
+    fold = lambda c: F.trim(F.regexp_replace(F.lower(c), r"(?U)\s+", " "))
     rows = rows.withColumn("folded", fold("stem"))
-    asked = rows.select("field_name", F.col("folded").alias("stem"), fold("value").alias("value"))
+    asked = rows.select("field_name", F.col("folded").alias("stem"), F.when(F.col("stem") == F.col("value"), F.col("folded")).otherwise(fold("value")).alias("value"))
     found = with_longer(asked.unionByName(others.select("field_name", F.lit("").alias("stem"), fold("value").alias("value")).where("value is not null")))
     rows = rows.join(found.withColumnRenamed("stem", "folded"), ["field_name", "folded"], "left").drop("folded")
     return rows.withColumn("copy", F.regexp_replace("longer", _MARK, "").rlike(r"^[\p{L}\p{N}]|^[ -][\p{L}\p{N}]|^, [\p{Ll}]"))
