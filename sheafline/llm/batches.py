@@ -197,13 +197,14 @@ def _in_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.concat(held).drop_duplicates()
 
 
-def _parts(rest: str) -> set[str]:
-    """The same parts as ``_thirds`` and the sorted letters."""
+def _parts(rest: str, asks: bool = False) -> set[str]:
+    """The same parts as ``_thirds`` and the sorted letters; only the one that asks has all cuts of the middle."""
     found = {"".join(sorted(rest))}
     for c in {len(rest) // 8, (len(rest) + 2) // 8}:
         k = max(2, (8 * c + 1) // 3)
         found |= {f"{c}p{rest[:k]}", f"{c}s{rest[-k:]}"}
-        found |= {f"{c}m{rest[k + i : max(k + i, len(rest) - k - j)]}" for i in range(3) for j in range(3)}
+        cuts = (0, 1, 2) if asks else (1,)
+        found |= {f"{c}m{rest[k + i : max(k + i, len(rest) - k - j)]}" for i in cuts for j in cuts}
     return found
 
 
@@ -224,9 +225,8 @@ def _in_frames(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     for i, r in enumerate(rows[:-1]):
                         for p in _parts(r[4]):
                             parts.setdefault(p, []).append(i)
-                own = _parts(rest)
-                met = {i for p in own for i in parts.get(p, ())}
-                for p in own:
+                met = {i for p in _parts(rest, True) for i in parts.get(p, ())}
+                for p in _parts(rest):
                     parts.setdefault(p, []).append(len(rows) - 1)
             for i in met:
                 other, e0, e1, was_new, words = rows[i]

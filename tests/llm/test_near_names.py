@@ -37,7 +37,7 @@ def test_parts_of_texts_two_edits_apart(spark):
     for t in texts:
         one = {t[:i] + x + t[i + d :] for i in range(len(t) + 1) for x, d in (("", 1), ("q", 0), ("q", 1))}
         two = {t[:i] + x + t[i + d :] for t in sorted(one) for i in range(len(t) + 1) for x, d in (("", 1), ("z", 0), ("z", 1))}
-        assert all(batches._parts(t) & batches._parts(u) for u in two)
+        assert all(batches._parts(t) & batches._parts(u, True) and batches._parts(t, True) & batches._parts(u) for u in two)
         rows += [(t, u) for u in sorted(two)[::7]]
     df = spark.createDataFrame(rows, "a string, b string")
     assert df.where(~F.arrays_overlap(batches._thirds(F.col("a")), batches._thirds(F.col("b")))).count() == 0
